@@ -2,6 +2,7 @@
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..registry import query
 
@@ -53,48 +54,48 @@ def id_difference(t):
     return t.orders.select("o_orderkey").distinct().join(ids, "o_orderkey", "left_anti")
 
 
-@F.pandas_udf("int")
-def text_length(s: pd.Series) -> pd.Series:
-    return s.str.len().astype("int32")
+# Functions handed to Python workers are defined inside the queries, so they travel with the job
+# and the workers need no copy of this package.
 
 
 @query("udf1", "SELECT p_partkey, CAST(length(p_name) AS INTEGER) AS by_udf, CAST(length(p_name) AS INTEGER) AS built_in, lower(p_name) AS low FROM part")
 def per_value(t):
+    @F.pandas_udf(T.IntegerType())
+    def text_length(s: pd.Series) -> pd.Series:
+        return s.str.len().astype("int32")
+
     return t.part.select(
         "p_partkey", text_length("p_name").alias("by_udf"), F.length("p_name").alias("built_in"), F.lower("p_name").alias("low")
     )
 
 
-@F.pandas_udf("double")
-def row_minimum(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-    return pd.concat([a, b, c], axis=1).min(axis=1)
-
-
 @query(
     "udf2",
     """SELECT l_orderkey, l_partkey, l_suppkey, least(l_quantity, l_discount, l_tax) AS by_udf, least(l_quantity, l_discount, l_tax) AS built_in, CAST(3 AS INTEGER) AS width FROM lineitem""",
 )
 def along_rows(t):
+    @F.pandas_udf(T.DoubleType())
+    def row_minimum(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return a.where(a < b, b).where(lambda m: m < c, c)
+
     cols = ["l_quantity", "l_discount", "l_tax"]
     return t.lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", row_minimum(*cols).alias("by_udf"), F.least(*cols).alias("built_in"), F.size(F.array(*cols)).alias("width")
     )
 
 
-def partial_over_ten(batches):
-    """Per Arrow batch: rows and hits per group. The merge is a built-in sum, so no group sits in one task."""
-    for pdf in batches:
-        hit = (pdf["l_quantity"] > 10).astype("int64")
-        g = pdf.assign(hit=hit).groupby("l_returnflag")["hit"].agg(["sum", "count"]).reset_index()
-        yield g.rename(columns={"sum": "hits", "count": "n"})
-
-
 @query(
     "udf3",
     """SELECT l_returnflag, round(avg(CASE WHEN l_quantity > 10 THEN 1.0 ELSE 0.0 END) * 100, 8) AS by_udf,
        round(avg(CASE WHEN l_quantity > 10 THEN 1.0 ELSE 0.0 END) * 100, 8) AS built_in FROM lineitem GROUP BY 1""",
 )
 def user_aggregate(t):
+    def partial_over_ten(batches):
+        """Rows and hits per group of one batch. A built-in sum merges them, so no group sits in one task."""
+        for pdf in batches:
+            g = pdf.assign(hit=(pdf["l_quantity"] > 10).astype("int64")).groupby("l_returnflag")["hit"].agg(["sum", "count"])
+            yield g.reset_index().rename(columns={"sum": "hits", "count": "n"})
+
     df = t.lineitem.select("l_returnflag", "l_quantity")
     parts = df.mapInPandas(partial_over_ten, "l_returnflag string, hits bigint, n bigint")
     udf = parts.groupBy("l_returnflag").agg(F.round(F.sum("hits") / F.sum("n") * 100, 8).alias("by_udf"))
@@ -104,23 +105,24 @@ def user_aggregate(t):
     return udf.join(built, "l_returnflag")
 
 
-def first_five(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["o_totalprice", "o_orderkey"], ascending=[False, True]).head(5)
-
-
 @query(
     "udf4",
     """SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 5""",
 )
 def rows_per_group(t):
-    # Each batch keeps its best five per key, so the group that reaches the last step is small.
-    def best_of_batch(batches):
+    # The general hook for a function per group: rows sorted by key stream through it, and only the
+    # group in hand is remembered. The first pass leaves at most five rows per key and task.
+    def head_of_each_key(batches):
+        last, seen = None, 0
         for pdf in batches:
-            yield pdf.sort_values(["o_totalprice", "o_orderkey"], ascending=[False, True]).groupby("o_custkey").head(5)
-
+            if pdf.empty:
+                continue
+            place = pdf.groupby("o_custkey").cumcount()
+            place += (pdf["o_custkey"] == last) * seen
+            yield pdf[place < 5]
+            last, seen = pdf["o_custkey"].iloc[-1], place.iloc[-1] + 1
+
+    order = ["o_custkey", F.desc("o_totalprice"), "o_orderkey"]
     df = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
-    schema = "o_custkey long, o_orderkey long, o_totalprice double"
-    small = df.mapInPandas(best_of_batch, schema)
-    spread = small.withColumn("part", F.pmod(F.xxhash64("o_orderkey"), F.lit(64)))
-    merged = spread.groupBy("o_custkey", "part").applyInPandas(lambda pdf: first_five(pdf.drop(columns="part")), schema)
-    return merged.groupBy("o_custkey").applyInPandas(first_five, schema)
+    per_task = df.sortWithinPartitions(*order).mapInPandas(head_of_each_key, df.schema)
+    return per_task.repartition("o_custkey").sortWithinPartitions(*order).mapInPandas(head_of_each_key, df.schema)

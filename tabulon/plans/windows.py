@@ -241,13 +241,13 @@ def custom_order(t):
     return days.select("weekday", place, "mean").orderBy("sort_key")
 
 
-GAIN = "SELECT concat(p_type, '_', p_brand) AS feature, CAST(sum(floor(p_retailprice) - 990) AS BIGINT) AS gain FROM part GROUP BY 1"
+GAIN = "SELECT concat(p_type, '_', p_brand) AS feature, CAST(sum(p_size - 25) AS BIGINT) AS gain FROM part GROUP BY 1"
 
 
 def gain(t):
     """A score per name, as an importance table has it: type and brand of the parts."""
     return t.part.groupBy(F.concat("p_type", F.lit("_"), "p_brand").alias("feature")).agg(
-        F.sum(F.floor("p_retailprice") - 990).alias("gain")
+        F.sum(F.col("p_size") - 25).alias("gain")
     )
 
 
