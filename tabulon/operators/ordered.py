@@ -54,7 +54,8 @@ def with_ranges(df: DataFrame, order: str, points: list[float], name: str = RANG
     """Add the range number of ``order``; equal values share a range and ranges follow the order."""
     key = f"{name}_key"
     cut = Bucketizer(splits=[-math.inf, *points, math.inf], inputCol=key, outputCol=name, handleInvalid="keep")
-    return cut.transform(df.withColumn(key, F.col(order).cast("double"))).drop(key)
+    ranged = cut.transform(df.withColumn(key, F.col(order).cast("double"))).drop(key)
+    return ranged.withColumn(name, F.col(name).cast("int"))
 
 
 @dataclass
@@ -83,7 +84,7 @@ def _ranged(df: DataFrame, spec: Ordered, cuts: Cuts) -> DataFrame:
     inner = cut_points(df, tie)
     out = with_ranges(out, tie, inner.points, "_sub")
     step = len(inner.points) + 2
-    sub = F.when(F.col(spec.order).cast("double").isin(cuts.heavy), F.col("_sub")).otherwise(F.lit(0.0))
+    sub = F.when(F.col(spec.order).cast("double").isin(cuts.heavy), F.col("_sub")).otherwise(F.lit(0))
     return out.withColumn(RANGE, F.col(RANGE) * step + sub).drop("_sub")
 
 
@@ -126,7 +127,8 @@ def ordered(df: DataFrame, spec: Ordered, cuts: Cuts | None = None) -> DataFrame
     carried = ranges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c.alias(n) for n, c in offsets.items()])
 
     rows = ranged.withColumns(local) if local else ranged
-    joined = rows.join(carried, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "inner")
+    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in spec.keys] + [F.col(RANGE) == F.col(f"_k_{RANGE}")]
+    joined = rows.join(carried, match, "inner")
 
     result = [F.col(c) for c in df.columns]
     if spec.row_number:
