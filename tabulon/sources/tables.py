@@ -69,7 +69,7 @@ def describe_tables(frames: dict[str, DataFrame]) -> list[tuple[str, str, str, b
 
 def scan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a plan; runs nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def guarded(df: DataFrame, limit_bytes: int) -> DataFrame:
