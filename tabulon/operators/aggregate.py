@@ -2,26 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import present, safe_divide
+from ..functions.columns import present
+from .joins import gathered
 
 MAX_LEVELS = 1000
+WIDE = 60  # outputs beyond which partial results outweigh the rows they stand for
 
 
-def stat(kind: str, x: Column) -> Column:
-    """One statistic with the null rules of a data frame library: an all-null sum is 0."""
-    if kind == "sum":
-        return F.coalesce(F.sum(x), F.lit(0))
-    return {"mean": F.avg, "max": F.max, "min": F.min, "count": F.count}[kind](x)
+# One statistic as SQL, with the null rules of a data frame library: an all-null sum is 0. Wide tables
+# have hundreds of these, and a parsed text is much quicker to hand over than a tree of calls.
+STATS = {
+    "mean": "avg({x})",
+    "max": "max({x})",
+    "min": "min({x})",
+    "sum": "coalesce(sum({x}), 0D)",
+    "count": "count({x})",
+}
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def numeric_stats(columns: list[str], prefix: str, stats=("mean", "max", "min", "sum")) -> list[Column]:
     """Every statistic of every column, named PREFIX_COLUMN_STAT."""
-    return [stat(s, F.col(c).cast("double")).alias(f"{prefix}_{c}_{s}".upper()) for c in columns for s in stats]
+    return [
+        F.expr(f"{STATS[s].format(x=f'CAST({quoted(c)} AS DOUBLE)')} AS {quoted(f'{prefix}_{c}_{s}'.upper())}")
+        for c in columns
+        for s in stats
+    ]
 
 
 def levels(df: DataFrame, columns: list[str], limit: int = MAX_LEVELS) -> dict[str, list]:
@@ -43,9 +59,9 @@ def levels(df: DataFrame, columns: list[str], limit: int = MAX_LEVELS) -> dict[s
 
 def level_counts(column: str, prefix: str, values: list) -> list[Column]:
     """Rows per value, null as a value of its own, named PREFIX_VALUE."""
-    x = F.col(column).cast("string")
-    named = [F.count_if(x == F.lit(v)).alias(f"{prefix}_{v}".upper()) for v in values]
-    return [*named, F.count_if(x.isNull()).alias(f"{prefix}_NAN".upper())]
+    x = f"CAST({quoted(column)} AS STRING)"
+    tests = [f"{x} = {text(v)}" for v in values] + [f"{quoted(column)} IS NULL"]
+    return [F.expr(f"count_if({t}) AS {quoted(n)}") for t, n in zip(tests, level_names(prefix, values))]
 
 
 def level_names(prefix: str, values: list) -> list[str]:
@@ -55,8 +71,8 @@ def level_names(prefix: str, values: list) -> list[str]:
 def level_rates(prefix: str, values: list) -> list[Column]:
     """Share of each value in its group, from the columns of ``level_counts``."""
     names = level_names(prefix, values)
-    total = reduce(lambda a, b: a + b, [F.col(f"`{n}`") for n in names])
-    return [safe_divide(F.col(f"`{n}`"), total).alias(f"{n}_RATE") for n in names]
+    total = f"nullif({' + '.join(quoted(n) for n in names)}, 0)"
+    return [F.expr(f"{quoted(n)} / {total} AS {quoted(f'{n}_RATE')}") for n in names]
 
 
 def key_profile(
@@ -80,7 +96,10 @@ def key_profile(
     for column, values in found.items():
         aggs += level_counts(column, categories[column], values)
     aggs += extra or []
-    wide = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    rows = df.filter(F.col(key).isNotNull())
+    if len(aggs) > WIDE:
+        rows = gathered(rows, key)
+    wide = rows.groupBy(key).agg(*aggs)
     rates = [r for column, values in found.items() for r in level_rates(categories[column], values)]
     return wide.select("*", *rates), found
 

@@ -315,8 +315,8 @@ def bureau_features(bureau: DataFrame, balance: DataFrame | None = None) -> Data
     distinct = {}
     for name, (prefix, column) in kinds.items():
         # The number of distinct values is the number of value counts above zero.
-        seen = [(F.col(f"`{n}`") > 0).cast("bigint") for n in A.level_names(prefix, found.get(column, []))[:-1]]
-        distinct[name] = reduce(lambda a, b: a + b, seen) if seen else F.lit(0).cast("bigint")
+        seen = [f"CAST({A.quoted(n)} > 0 AS BIGINT)" for n in A.level_names(prefix, found.get(column, []))[:-1]]
+        distinct[name] = F.expr(" + ".join(seen) or "0L")
     wide = wide.withColumns(distinct)
     return wide.drop(*[c for c in wide.columns if c.startswith("_CURRENCY")])
 

@@ -23,24 +23,42 @@ def multiplicity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
+def hot_keys(df: DataFrame, key: str, pieces: int) -> DataFrame:
+    """(_hot): the keys that hold more than ``1 / pieces`` of the rows; fewer than ``pieces`` rows by definition."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+    return counts.filter(F.col("c") * pieces > counts.agg(F.sum("c")).scalar()).select(F.col(key).alias("_hot"))
+
+
+def pieces_of(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def salted(df: DataFrame, key: str, hot: DataFrame, pieces: int) -> DataFrame:
+    """Adds ``_salt``: 0, or for a hot key a hash of the row. A task that runs again gives the same rows."""
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*df.columns), F.lit(pieces)).cast("int")).otherwise(0)
+    return df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot")
+
+
+def gathered(df: DataFrame, key: str) -> DataFrame:
+    """The rows of a key brought into one task, those of a hot key into several.
+
+    For aggregates with so many outputs that a row of partial results is wider than the rows it
+    stands for: shuffling the rows themselves once is cheaper than shuffling partial results.
+    """
+    n = pieces_of(df)
+    return salted(df, key, hot_keys(df.select(key), key, n), n).repartition(key, "_salt")
+
+
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", pieces: int | None = None) -> DataFrame:
     """Equi join on one key (inner or left) whose left rows may pile up on a few keys.
 
-    Keys that hold more than ``1 / pieces`` of the left rows are found first (there are fewer than
-    ``pieces`` of them, so that list is small by definition). Their left rows are spread over
-    ``pieces`` salts and their right rows repeated once per salt; all other keys join as usual. The
-    salt is a hash of the row, so a task that runs again gives the same rows.
+    Hot keys are found first. Their left rows are spread over ``pieces`` salts and their right rows
+    repeated once per salt; all other keys join as usual.
     """
     if how not in ("inner", "left"):
         raise ValueError("inner or left")
-    n = pieces or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("c"))
-    total = counts.agg(F.sum("c")).scalar()
-    hot = F.broadcast(counts.filter(F.col("c") * n > total).select(F.col(key).alias("_hot")))
-
-    spread = left.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.lit(n)).cast("int")).otherwise(0)
-    ).drop("_hot")
+    n = pieces or pieces_of(left)
+    hot = hot_keys(left.select(key), key, n)
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    repeated = right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted(left, key, hot, n).join(repeated, [key, "_salt"], how).drop("_salt")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -17,23 +19,30 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.layout import spread
+from ..sources.scratch import durable
 from . import evaluate as V
-from .splits import class_weights
+
+PARALLEL_FITS = 4
 
 TEXT_NUMERICS = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "mark_share", "mean_word"]
 TEXT_CATEGORIES = ["lang", "source"]
 
 
 def text_frame(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with numbers read off their whole text by built-in functions."""
+    """Labelled documents with numbers read off their whole text by built-in functions.
+
+    The numbers are made before the join, so no text is shuffled.
+    """
     text = F.col("text")
     n = F.greatest(F.length(text), F.lit(1))
     without = lambda pattern: (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))) / n
     words = F.size(F.split(text, r"\s+"))
-    rows = documents.select(
+    rows = spread(documents.select("doc_id", "lang", "source", "text")).select(
         "doc_id",
         "lang",
         "source",
@@ -45,13 +54,19 @@ def text_frame(documents: DataFrame, labels: DataFrame) -> DataFrame:
         without(r"[^\p{L}0-9\s]").alias("mark_share"),
         (n / words).alias("mean_word"),
     )
-    return labels.select("doc_id", "quality").join(rows, "doc_id")
+    return labels.join(rows, "doc_id")
+
+
+def weight_column(counts: dict[int, int], label: str) -> Column:
+    """The balanced weight n / (2 n_c) as an expression over the two known class sizes."""
+    n = sum(counts.values())
+    return F.when(F.col(label) == 1, F.lit(n / (2 * max(counts.get(1, 0), 1)))).otherwise(F.lit(n / (2 * max(counts.get(0, 0), 1))))
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Balanced weights: two classes, so the table that is joined has two rows."""
-    w = class_weights(df, label).select(F.col(label).alias("_y"), F.col("weight").alias(name))
-    return df.join(F.broadcast(w), F.col(label) == F.col("_y")).drop("_y")
+    """Balanced weights from one counting pass; every later pass of a learner only evaluates an expression."""
+    counts = {int(r[label]): r["count"] for r in df.groupBy(label).count().collect()}
+    return df.withColumn(name, weight_column(counts, label))
 
 
 def preparation(numerics: list[str], categories: list[str], scale: bool = True, one_hot: bool = True) -> list:
@@ -132,15 +147,24 @@ def load_bundle(spark: SparkSession, path: str):
 
 
 def cross_validated(df: DataFrame, key: str, label: str, fold: str, k: int, models: dict[str, Callable[[], Pipeline]]) -> DataFrame:
-    """Out-of-fold scores, one row per (model, key). Everything is fitted on the other folds only."""
-    out = None
-    for i in range(k):
-        train = with_class_weight(df.filter(F.col(fold) != i), label)
-        held = df.filter(F.col(fold) == i)
-        for name, make in models.items():
-            part = scores(make().fit(train).transform(held), key, label, fold).select(F.lit(name).alias("model"), "*")
-            out = part if out is None else out.unionByName(part)
-    return out
+    """Out-of-fold scores, one row per (model, key). Everything is fitted on the other folds only.
+
+    The models of one fold run side by side. The scores are written once, so what follows does not
+    score again.
+    """
+    sizes = {(r[fold], int(r[label])): r["count"] for r in df.groupBy(fold, label).count().collect()}
+
+    def one(job):
+        i, name, make = job
+        counts = {c: sum(n for (f, y), n in sizes.items() if f != i and y == c) for c in (0, 1)}
+        train = df.filter(F.col(fold) != i).withColumn("weight", weight_column(counts, label))
+        held = make().fit(train).transform(df.filter(F.col(fold) == i))
+        return scores(held, key, label, fold).select(F.lit(name).alias("model"), "*")
+
+    jobs = [(i, name, make) for i in range(k) for name, make in models.items()]
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), jobs))
+    return durable(reduce(lambda a, b: a.unionByName(b), parts))
 
 
 def fold_metrics(oof: DataFrame, label: str, keys: Iterable[str] = ("model", "fold")) -> DataFrame:

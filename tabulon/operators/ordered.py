@@ -51,7 +51,12 @@ def cut_points(df: DataFrame, order: str, ranges: int | None = None) -> Cuts:
 
 
 def with_ranges(df: DataFrame, order: str, points: list[float], name: str = RANGE) -> DataFrame:
-    """Add the range number of ``order``; equal values share a range and ranges follow the order."""
+    """Add the range number of ``order``; equal values share a range and ranges follow the order.
+
+    Rows without an order value come last.
+    """
+    if not points:
+        return df.withColumn(name, F.lit(0))
     key = f"{name}_key"
     cut = Bucketizer(splits=[-math.inf, *points, math.inf], inputCol=key, outputCol=name, handleInvalid="keep")
     ranged = cut.transform(df.withColumn(key, F.col(order).cast("double"))).drop(key)

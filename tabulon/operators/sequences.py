@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.layout import spread
 from ..sources.scratch import durable
 from .ordered import Ordered, ordered
 
@@ -51,15 +52,18 @@ def stationary(steps: DataFrame, tolerance: float = 1e-12, every: int = 5, round
 
 def pair_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """One row per neighbouring token pair of every text."""
-    toks = df.select(*keep, tokens(F.col(text)).alias("_t"))
+    # The tokens are bound to a name inside the lambda, so a text is split once.
     pairs = F.transform(
-        F.sequence(F.lit(1), F.size("_t") - 1), lambda i: F.struct(F.col("_t")[i - 1].alias("prev"), F.col("_t")[i].alias("cur"))
+        F.array(tokens(F.col(text))),
+        lambda t: F.zip_with(
+            F.slice(t, F.lit(1), F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda a, b: F.struct(a.alias("prev"), b.alias("cur"))
+        ),
     )
-    return toks.select(*keep, F.inline(pairs))
+    return spread(df.select(*keep, text)).select(*keep, F.inline(pairs[0]))
 
 
 def unigrams(df: DataFrame, text: str) -> DataFrame:
-    return df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return spread(df.select(text)).select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def bigrams(df: DataFrame, text: str) -> DataFrame:
@@ -78,16 +82,19 @@ def smoothed(count, context, alpha: float, size):
 def perplexity(model: DataFrame, model_text: str, df: DataFrame, key: str, text: str, alpha: float = 0.5) -> DataFrame:
     """Log-probability and perplexity of every text under the pair counts of ``model``.
 
-    Each text is reduced to its distinct pairs with counts before it meets the model tables.
+    Each text is reduced to its distinct pairs with counts, and of the model only the pairs that
+    some text asks for are counted.
     """
-    uni, bi = unigrams(model, model_text), bigrams(model, model_text)
-    rows = pair_rows(df, text, key).groupBy(key, "prev", "cur").agg(F.count(F.lit(1)).alias("k"))
+    rows = pair_rows(df, text, key).groupBy(key, "prev", "cur").agg(F.count(F.lit(1)).alias("_k"))
+    wanted = rows.select("prev", "cur").distinct()
+    bi = pair_rows(model, model_text).join(wanted, ["prev", "cur"], "left_semi").groupBy("prev", "cur").agg(F.count(F.lit(1)).alias("n"))
+    uni = unigrams(model, model_text)
     seen = rows.join(bi, ["prev", "cur"], "left").join(
         uni.select(F.col("token").alias("prev"), F.col("n").alias("context")), "prev", "left"
     )
     logp = F.ln(smoothed(F.col("n"), F.col("context"), alpha, F.col("_size")))
-    scored = seen.withColumn("_size", vocabulary_size(uni)).withColumn("_lp", logp * F.col("k"))
-    total = scored.groupBy(key).agg(F.sum("_lp").alias("log_probability"), F.sum("k").alias("n_pairs"))
+    scored = seen.withColumn("_size", vocabulary_size(uni)).withColumn("_lp", logp * F.col("_k"))
+    total = scored.groupBy(key).agg(F.sum("_lp").alias("log_probability"), F.sum("_k").alias("n_pairs"))
     return total.withColumn("perplexity", F.exp(-F.col("log_probability") / F.col("n_pairs")))
 
 

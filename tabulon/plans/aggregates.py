@@ -220,12 +220,7 @@ BURO_NUMS = ["AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "CREDIT_DAY_OVERDUE"]
 
 
 def rounded(df):
-    return df.select(
-        *[
-            R(F.col(f"`{n}`"), 10).alias(n) if kind == "double" and rounds(n) else F.col(f"`{n}`")
-            for n, kind in df.dtypes
-        ]
-    )
+    return df.selectExpr(*[f"round(`{n}`, 10) AS `{n}`" if kind == "double" and rounds(n) else f"`{n}`" for n, kind in df.dtypes])
 
 
 @query("agg17", f"WITH b AS ({S.SQL['bureau']}) SELECT SK_ID_CURR, {stats_sql('BURO', BURO_NUMS)} FROM b GROUP BY 1")

@@ -138,9 +138,7 @@ def building_features(t):
 
 def tidy(df):
     """Outputs that are sums of quotients are rounded, so the order of addition does not show."""
-    return df.select(
-        *[R(F.col(f"`{n}`"), 10).alias(n) if kind == "double" and rounds(n) else F.col(f"`{n}`") for n, kind in df.dtypes]
-    )
+    return df.selectExpr(*[f"round(`{n}`, 10) AS `{n}`" if kind == "double" and rounds(n) else f"`{n}`" for n, kind in df.dtypes])
 
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]

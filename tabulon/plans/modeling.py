@@ -31,11 +31,11 @@ NUM, CAT, Y = M.TEXT_NUMERICS, M.TEXT_CATEGORIES, "quality"
 
 def frame(t):
     """Labelled documents with features and a split, written once because models read it many times."""
-    return durable(Sp.stratified_split(M.text_frame(t.documents, t.labels), "doc_id", Y))
+    return durable(M.text_frame(t.documents, Sp.stratified_split(t.labels, "doc_id", Y).select("doc_id", Y, "split")))
 
 
 def folded(t, k=3):
-    return durable(Sp.stratified_folds(M.text_frame(t.documents, t.labels), "doc_id", Y, k))
+    return durable(M.text_frame(t.documents, Sp.stratified_folds(t.labels, "doc_id", Y, k).select("doc_id", Y, "fold")))
 
 
 @query("mlb1")
@@ -475,7 +475,7 @@ def stacking(t):
 
 @query("evl24")
 def robustness(t):
-    base = M.text_frame(t.documents, t.labels)
+    base = durable(M.text_frame(t.documents, t.labels.select("doc_id", Y)))
     parts = None
     for seed in (42, 123):
         df = durable(Sp.stratified_folds(base, "doc_id", Y, 2, seed))

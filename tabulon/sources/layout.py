@@ -1,0 +1,18 @@
+"""Where the rows of a job lie."""
+
+from pyspark.sql import DataFrame
+
+from .tables import scan_bytes
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows over all cores before heavy work per row, when the input is too small to fill them by itself.
+
+    A file with one block is read by one task. Only an input whose size estimate is below one read
+    block per core is dealt out; a larger one has enough tasks and is returned as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    size = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(block))
+    return df.repartition(cores) if scan_bytes(df) < cores * size else df

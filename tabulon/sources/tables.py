@@ -68,8 +68,9 @@ def describe_tables(frames: dict[str, DataFrame]) -> list[tuple[str, str, str, b
 
 
 def scan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan; runs nothing."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's estimate of the bytes all scans of a plan read; runs nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def guarded(df: DataFrame, limit_bytes: int) -> DataFrame:
