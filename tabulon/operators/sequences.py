@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..sources.layout import spread
 from ..sources.scratch import durable
+from .joins import join_hot
 from .ordered import Ordered, ordered
 
 START, END = "<s>", "</s>"
@@ -196,7 +197,7 @@ def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int =
         F.array(*[F.max(F.when(F.col("tag") == t, F.ln("p"))) for t in tags]).alias("e")
     )
     numbered = ordered(df.select(seq, order, F.col(word).alias("word")), Ordered(order=order, keys=[seq], row_number="_n"))
-    rows = numbered.join(per_word, "word", "left")
+    rows = join_hot(numbered, per_word, "word", "left")
     emit = [F.coalesce(F.col("e")[position[t]], F.lit(unknown[t])) for t in tags]
     base = lambda logs: F.array(*[F.lit(x) for x in logs])
     before = F.when(F.col("_n") == 1, base(log_s)).otherwise(base(log_a))

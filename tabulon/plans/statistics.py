@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import stats as St
-from ..operators.aggregate import most_frequent
+from ..operators.aggregate import levels, most_frequent
 from ..operators.quantiles import exact_quantiles, with_quantiles
 from ..registry import query
 
@@ -263,11 +263,12 @@ PAIRS = """m AS (SELECT event_type AS g, count(value) AS n, avg(value) AS mean,
 
 
 def pairs(t):
-    """The moments of every two event types, one row per pair."""
+    """The moments of every two event types, one row per pair. The list of types is refused when it is long."""
+    levels(t.events, ["event_type"], limit=100)
     m = St.moments(t.events, ["event_type"], "value")
-    a = m.toDF(*[f"{c}_a" for c in m.columns])
-    b = m.toDF(*[f"{c}_b" for c in m.columns])
-    return a.join(b, F.col("event_type_a") < F.col("event_type_b"))
+    every = m.agg(F.array_sort(F.collect_list(F.struct(*m.columns))).alias("g")).withColumn("i", F.explode(F.sequence(F.lit(0), F.size("g") - 1)))
+    later = every.select(F.col("g")[F.col("i")].alias("a"), F.explode(F.slice("g", F.col("i") + 2, F.size("g"))).alias("b"))
+    return later.select(*[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in ("a", "b") for c in m.columns])
 
 
 @query(
