@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import first_rows
 from .ordered import stable_hash
 from .quantiles import exact_quantiles
 
@@ -48,7 +49,7 @@ def grow_tree(rows: np.ndarray, limit: int, rng: np.random.Generator) -> np.ndar
 def isolation_scores(df: DataFrame, key: str, columns: list[str], trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
     """Adds ``anomaly`` in (0, 1]. The driver sees trees * sample rows, whatever the table size."""
     values = [F.col(c).cast("double").alias(c) for c in columns]
-    picked = df.select(key, *values, stable_hash(key, seed=seed).alias("_h")).orderBy("_h", key).limit(trees * sample)
+    picked = first_rows(df.select(key, *values, stable_hash(key, seed=seed).alias("_h")), ["_h", key], trees * sample)
     rows = picked.select(*columns).toPandas().to_numpy(dtype=float)
     rng = np.random.default_rng(seed)
     size = min(sample, len(rows))

@@ -398,11 +398,11 @@ def ablation(t):
     return mean.withColumn("change", F.col("roc_auc") - base)
 
 
-def shuffled_column(df, key, column, seed):
-    """The values of one column dealt to other rows: positions in two hash orders are matched."""
-    a = ordered(df.withColumn("_h", stable_hash(key, seed=seed)), Ordered(order="_h", tie=[key], row_number="_rn")).drop("_h")
-    b = ordered(df.select(key, column, stable_hash(key, seed=seed + 1).alias("_h")), Ordered(order="_h", tie=[key], row_number="_rn"))
-    return a.drop(column).join(b.select("_rn", column), "_rn").drop("_rn")
+def with_partner(df, key, columns, seed):
+    """Every row beside the values of another row: positions in two hash orders are matched."""
+    place = lambda d, s: ordered(d.withColumn("_h", stable_hash(key, seed=s)), Ordered(order="_h", tie=[key], row_number="_rn")).drop("_h")
+    other = place(df.select(key, *columns), seed + 1).select("_rn", *[F.col(c).alias(f"other_{c}") for c in columns])
+    return place(df, seed).join(other, "_rn").drop("_rn")
 
 
 @query("evl19")
@@ -410,11 +410,16 @@ def permutation_importance(t):
     df = frame(t)
     model = M.logistic_pipeline(NUM, [], Y, 10).fit(M.with_class_weight(df.filter("split = 'train'"), Y))
     valid = durable(df.filter("split <> 'train'").select("doc_id", Y, *NUM))
-    parts = M.scores(model.transform(valid), Y).select(F.lit("none").alias("feature"), F.lit(0).alias("repeat"), "*")
-    for column in ("n_chars", "mark_share"):
-        for repeat in range(3):
-            mixed = shuffled_column(valid, "doc_id", column, 10 * repeat + 1)
-            parts = parts.union(M.scores(model.transform(mixed), Y).select(F.lit(column), F.lit(repeat), "*"))
+
+    # One shuffle of the rows per repeat serves all columns: a column takes its partner's value in turn.
+    def variant(name):
+        return F.struct(F.lit(name).alias("feature"), *[F.col(f"other_{c}" if c == name else c).alias(c) for c in NUM])
+
+    parts = valid.select(Y, F.lit(0).alias("repeat"), F.lit("none").alias("feature"), *NUM)
+    for repeat in range(5):
+        pairs = with_partner(valid, "doc_id", NUM, 10 * repeat + 1)
+        parts = parts.union(pairs.select(Y, F.lit(repeat).alias("repeat"), F.inline(F.array(*[variant(c) for c in NUM]))))
+    parts = M.scores(model.transform(parts), Y, "feature", "repeat")
     aucs = V.auc_ap(V.score_curve(durable(parts), "score", Y, ["feature", "repeat"]), ["feature", "repeat"])
     aucs = durable(aucs)
     base = aucs.filter("feature = 'none'").select("roc_auc").scalar()
@@ -477,9 +482,9 @@ def stacking(t):
 def robustness(t):
     base = durable(M.text_frame(t.documents, t.labels.select("doc_id", Y)))
     parts = None
-    for seed in (42, 123):
-        df = durable(Sp.stratified_folds(base, "doc_id", Y, 2, seed))
-        oof = M.cross_validated(df, "doc_id", Y, "fold", 2, MODELS).withColumn("seed", F.lit(seed))
+    for seed in (42, 123, 2024):
+        df = durable(Sp.stratified_folds(base, "doc_id", Y, 3, seed))
+        oof = M.cross_validated(df, "doc_id", Y, "fold", 3, MODELS).withColumn("seed", F.lit(seed))
         parts = oof if parts is None else parts.union(oof)
     wide = parts.groupBy("seed", "fold", "doc_id", Y).pivot("model", list(MODELS)).agg(F.first("score"))
     a, b = (F.col(m) for m in MODELS)

@@ -246,3 +246,14 @@ def test_durable_keeps_rows_and_types(spark):
     df = spark.range(5).select("id", (F.col("id") * 1.5).alias("x"))
     back = durable(df)
     assert back.dtypes == df.dtypes and sorted(back.collect()) == sorted(df.collect())
+
+
+def test_first_rows_of_a_large_table(spark):
+    skewed = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") * F.col("id")).alias("v"), "id")
+    skewed = skewed.union(spark.createDataFrame([(None, -1)], "v long, id long"))
+    got = [tuple(r) for r in Io.first_rows(skewed, ["v", "id"], 50).collect()]
+    want = sorted(((5 if i % 3 == 0 else i * i), i) for i in range(20_000))[:49]
+    assert got == [(None, -1), *want]
+    far = spark.range(20_000).select((F.col("id") * 1000).alias("v"))
+    assert Io._value_reaching(far, "v", 50) < 200_000
+    assert Io.first_rows(far.filter("v < 0"), ["v"], 5).count() == 0
