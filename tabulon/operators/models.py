@@ -27,7 +27,7 @@ from ..sources.layout import spread
 from ..sources.scratch import durable
 from . import evaluate as V
 
-PARALLEL_FITS = 4
+PARALLEL_FITS = 1  # fits that run side by side; worth raising where executors would idle
 
 TEXT_NUMERICS = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share", "mark_share", "mean_word"]
 TEXT_CATEGORIES = ["lang", "source"]
@@ -149,7 +149,7 @@ def load_bundle(spark: SparkSession, path: str):
 def cross_validated(df: DataFrame, key: str, label: str, fold: str, k: int, models: dict[str, Callable[[], Pipeline]]) -> DataFrame:
     """Out-of-fold scores, one row per (model, key). Everything is fitted on the other folds only.
 
-    The models of one fold run side by side. The scores are written once, so what follows does not
+    ``PARALLEL_FITS`` models are fitted side by side. The scores are written once, so what follows does not
     score again.
     """
     sizes = {(r[fold], int(r[label])): r["count"] for r in df.groupBy(fold, label).count().collect()}
