@@ -29,7 +29,7 @@ def within_edits(x: Column, y: Column, edits: int) -> Column:
     """
     band = 2 * edits + 1
     every = (1 << band) - 1
-    right = F.split(y, "")
+    right = F.array_remove(F.split(y, ""), "")  # an empty text splits into one empty string
 
     def bits(level: int) -> int:  # before the first character only insertions are possible
         return sum(1 << (edits + d) for d in range(level + 1))
@@ -53,7 +53,7 @@ def within_edits(x: Column, y: Column, edits: int) -> Column:
         return F.struct((state["i"] + 1).alias("i"), *[v.alias(n) for v, n in zip(levels, names)])
 
     one = lambda state, char: F.element_at(F.transform(F.array(step(state, char)), advance), 1)
-    end = F.aggregate(F.split(x, ""), start, one, lambda s: s[names[-1]])
+    end = F.aggregate(F.array_remove(F.split(x, ""), ""), start, one, lambda s: s[names[-1]])
     shift = F.length(y) - F.length(x)
     return F.when(F.abs(shift) > edits, False).otherwise(F.call_function("shiftright", end, shift + edits) % 2 == 1)
 
@@ -161,19 +161,18 @@ def dedup_lines(
     hits = _lines(slim, min_chars).select("doc_id", "text_hash", "pos", "a", "b").join(often, ["a", "b"])
     hits = hits.filter(F.struct("doc_id", "text_hash", "pos") != F.col("first"))
     gone = steps.write(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone")))
-    match = (docs["doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["text_hash"])
-    rows = docs.join(gone, match, "left").select(*[docs[c] for c in docs.columns], "gone")
-    split = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
-    clean = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
+    # the row travels as one struct, so that no column of it can clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    match = (rows["row.doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(rows["row.text"]) == gone["text_hash"])
+    rows = rows.join(gone, match, "left").select("row", "gone", F.split("row.text", "\n").alias("split"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("split") - 1), F.col("gone"))
+    clean = F.array_join(F.transform(left, lambda i: F.get("split", i)), "\n")
     hit = F.col("gone").isNotNull()
-    rows = rows.withColumns(
-        {
-            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long"),
-            "n_removed": F.when(hit, F.size("gone")).otherwise(0).cast("long"),
-            "was": F.length("text"),
-            "text": F.when(hit, clean).otherwise(F.col("text")),
-        }
+    rows = rows.withColumn("clean", F.when(hit, clean).otherwise(F.col("row.text")))
+    kept = ~hit | (F.length("clean") >= F.lit(min_left) * F.length("row.text")) & (F.length("clean") > 0)
+    return rows.select(
+        *[F.col("clean").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
+        F.when(F.col("split").isNull(), 0).otherwise(F.size("split")).cast("long").alias("n_lines"),
+        F.when(hit, F.size("gone")).otherwise(0).cast("long").alias("n_removed"),
+        kept.alias("kept"),
     )
-    kept = ~hit | (F.length("text") >= F.lit(min_left) * F.col("was")) & (F.length("text") > 0)
-    return rows.withColumn("kept", kept).select(*docs.columns, "n_lines", "n_removed", "kept")

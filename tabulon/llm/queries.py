@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import lines, minhash, mixing, pieces, quality
+from . import chat, embeddings, lines, minhash, mixing, passages, pieces, pii, quality, spotsigs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the operators has a form in plain SQL; tests/llm compares them with brute-force versions.
@@ -41,6 +42,16 @@ def _op2(spark, sf_dir):
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "kept", "text")
 
 
+@query("op3_fingerprints")
+def _op3(spark, sf_dir):
+    return spotsigs.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def _op4(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op5_mixing")
 def _op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
@@ -51,6 +62,27 @@ def _op6(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_pii")
+def _op7(spark, sf_dir):
+    # the key is an example; it is a parameter of the operator and belongs in the caller's secret store
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pii.pseudonymise(docs, key="example key")
+    return rows.select("doc_id", F.size("found").cast("long").alias("n_found"), F.transform("found", lambda f: f["kind"]).alias("kinds"), "text")
+
+
+@query("op8_chat_formatting")
+def _op8(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_turns(rows))
+
+
+@query("op9_embedding_near_dedup")
+def _op9(spark, sf_dir):
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_sentencepiece")
 def _op10(spark, sf_dir):
     return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.load_pieces())
