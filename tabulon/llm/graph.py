@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .steps import Steps
@@ -40,31 +40,27 @@ def components(links: DataFrame, steps: Steps) -> DataFrame:
 
 
 def bucket_links(
-    posts: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
-    steps: Steps,
-    carry: tuple[str, ...] = (),
-    also=None,
+    posts: DataFrame, verify: Callable[[DataFrame], DataFrame], steps: Steps, known: DataFrame | None = None, also: Column | None = None
 ) -> DataFrame:
     """Links (a, b), a < b, that connect exactly the items that verified pairs sharing a bucket connect.
 
-    ``posts``: key, item, weight and the ``carry`` columns, one row per bucket and item. ``verify``
-    takes pairs (a, b) and returns those that hold.
+    ``posts``: key, item, weight, one row per bucket and item. ``verify`` takes pairs (a, b) and returns those that hold.
 
     First every item meets the heaviest item of each of its buckets. A group of near copies is thus
     mostly connected through its centre with one pair per item. Then only pairs of a bucket that are
     still in different components are compared, all of them, so no connection is lost. ``also``
-    gives a condition on the two sides (aliases x, y) of such a pair.
+    rules out pairs that cannot hold, by what is ``known`` of the two items (aliases x, y).
     """
     hubs = posts.groupBy("key").agg(F.max_by("item", F.struct("weight", -F.col("item"))).alias("hub"), F.min("item").alias("lo"), F.max("item").alias("hi"))
     hubs = steps.write(hubs.filter("lo < hi").select("key", "hub"))
-    met = steps.write(posts.join(hubs, "key"))
+    met = steps.write(posts.select("key", "item").join(hubs, "key"))
     first = met.filter("item <> hub").select(F.least("item", "hub").alias("a"), F.greatest("item", "hub").alias("b")).distinct()
     links = steps.write(verify(first))
     label = steps.write(components(links, steps))
-    rows = met.join(label, "item", "left").withColumn("component", F.coalesce("component", "item"))
+    rows = met.join(label, "item", "left").select("key", "item", F.coalesce("component", "item").alias("component"))
     open_keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    left = steps.write(rows.join(open_keys, "key").select("key", "item", "component", *carry))
+    left = rows.join(open_keys, "key")
+    left = steps.write(left if known is None else left.join(known, "item"))
     x, y = left.alias("x"), left.alias("y")
     match = (F.col("x.key") == F.col("y.key")) & (F.col("x.item") < F.col("y.item")) & (F.col("x.component") != F.col("y.component"))
     if also is not None:

@@ -121,7 +121,7 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
     steps.drop(met)
     texts = shared.select("item").distinct().join(table.select("item", "line", F.col("n").alias("weight")), "item")
     texts = steps.write(texts.withColumn("parity", _parity("line")))
-    posts = shared.join(texts.select("item", "weight", "parity"), "item")
+    posts = shared.join(texts.select("item", "weight"), "item")
 
     def verify(found: DataFrame) -> DataFrame:
         left = texts.select(F.col("item").alias("a"), F.col("line").alias("x"), F.col("parity").alias("px"))
@@ -130,7 +130,7 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
         return both.filter(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
     near = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= 2 * edits
-    links = bucket_links(posts, verify, steps, ("parity",), near)
+    links = bucket_links(posts, verify, steps, texts.select("item", "parity"), near)
     group = steps.write(components(links, steps))
     steps.drop(shared, texts)
     rows = table.select("item", "a", "b", "n", "first")

@@ -89,29 +89,34 @@ def near_duplicates(
     ranked = pairs.join(shared, "key").groupBy("item").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("pairs"))
     prefix = F.slice("pairs", 1, F.greatest(F.lit(0), F.size("pairs") - F.lit(matches) + 1))
     ranked = ranked.select("item", F.transform(prefix, lambda p: p["key"]).alias("prefix"), F.aggregate("pairs", F.lit(0).cast("long"), lambda s, p: s + p["n"]).alias("weight"))
-    posts = items.join(ranked.filter("size(prefix) > 0"), "item").select("item", "weight", "prefix", "n_shingles", "signature", F.explode("prefix").alias("key"))
-    posts = steps.write(posts)
+    ranked = steps.write(ranked.filter("size(prefix) > 0"))
+
+    # full sets of the candidates, and how many of its shingles each shares with any other of them
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("item"), "text").join(ranked.select("item"), "item")
+    sets = shingle_sets(texts, width).join(items, "item").filter(F.size("shingles") == F.col("n_shingles")).dropDuplicates(["item"])
+    sets = steps.write(sets)
+    alone = sets.select("item", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.max("item").alias("item")).filter("n = 1")
+    alone = alone.groupBy("item").agg(F.count("*").alias("alone"))
+    known = ranked.join(sets.select("item", "n_shingles"), "item").join(alone, "item", "left")
+    known = known.withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))).drop("alone")
+    known = steps.write(known.filter(100 * F.col("shared") >= percent * F.col("n_shingles")))
+    posts = known.select("item", "weight", F.explode("prefix").alias("key"))
 
     def verify(found: DataFrame) -> DataFrame:
-        found = steps.write(found)
-        wanted = found.select(F.col("a").alias("item")).union(found.select("b")).distinct()
-        texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("item"), "text")
-        sides = steps.write(shingle_sets(texts.join(wanted, "item")))
-        sides = sides.join(items.select("item", "n_shingles", "signature"), "item").filter(F.size("shingles") == F.col("n_shingles"))
-        sides = sides.dropDuplicates(["item"])
-        left = sides.select(F.col("item").alias("a"), F.col("shingles").alias("sa"), F.col("n_shingles").alias("na"), F.col("signature").alias("ga"))
-        right = sides.select(F.col("item").alias("b"), F.col("shingles").alias("sb"), F.col("n_shingles").alias("nb"), F.col("signature").alias("gb"))
+        left = sets.select(F.col("item").alias("a"), F.col("shingles").alias("sa"), F.col("n_shingles").alias("na"), F.col("signature").alias("ga"))
+        right = sets.select(F.col("item").alias("b"), F.col("shingles").alias("sb"), F.col("n_shingles").alias("nb"), F.col("signature").alias("gb"))
         both = found.join(left, "a").join(right, "b")
         agree = F.size(F.filter(F.arrays_zip("ga", "gb"), lambda z: z["ga"] == z["gb"])) >= matches
         holds = enough(F.size(F.array_intersect("sa", "sb")), F.col("na"), F.col("nb"), percent)
-        return both.filter(enough(F.least("na", "nb"), F.col("na"), F.col("nb"), percent)).filter(agree & holds).select("a", "b")
+        return both.filter(agree & holds).select("a", "b")
 
-    fits = (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")) & (
+    # no more can be common than either set has in common with any other; a pair meets under its first common key
+    fits = enough(F.least("x.shared", "y.shared"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent) & (
         F.element_at(F.array_intersect("x.prefix", "y.prefix"), 1) == F.col("x.key")
     )
-    links = bucket_links(posts, verify, steps, ("n_shingles", "prefix"), fits)
+    links = bucket_links(posts, verify, steps, known.drop("weight"), fits)
     group = steps.write(components(links, steps).select(F.col("item"), F.col("component")))
-    steps.drop(posts, items)
+    steps.drop(ranked, sets, known, items)
 
     known = heads.join(group, "item", "left").select("set_a", "set_b", F.coalesce("component", "item").alias("component"))
     rows = signed.select("doc_id", "n_shingles", "set_a", "set_b")

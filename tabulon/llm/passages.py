@@ -148,7 +148,7 @@ def repeated_passages(
     items = steps.write(items.withColumn("item", F.monotonically_increasing_id()))
     member = steps.write(spots.join(items.select("a", "b", "item"), ["a", "b"]).drop("a", "b"))
     posts = met.join(member.select("doc_id", "pos", "item"), ["doc_id", "pos"]).select("key", "item").distinct()
-    posts = steps.write(posts.join(items.select("item", F.col("n").alias("weight"), F.size("shingles").alias("size")), "item"))
+    posts = steps.write(posts.join(items.select("item", F.col("n").alias("weight")), "item"))
     steps.drop(met, sets)
 
     def verify(found: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def repeated_passages(
         return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
     fits = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
-    group = steps.write(components(bucket_links(posts, verify, steps, ("size",), fits), steps))
+    group = steps.write(components(bucket_links(posts, verify, steps, items.select("item", F.size("shingles").alias("size")), fits), steps))
     named = items.select("item", "first").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     origin = named.groupBy("component").agg(F.min("first").alias("first"))
     origin = steps.write(named.select("item", "component").join(origin, "component").select("item", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.pos").alias("kept_pos")))

@@ -137,9 +137,11 @@ def classes(prints: DataFrame, steps: Steps, least: float = LIKENESS) -> DataFra
     skip = F.col("n") - F.size("spots")
     prefix = F.slice("spots", 1, F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * least).cast("int") + 1 - skip))
     part = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / least)).cast("int")
-    ranked = ranked.select("item", "n", F.col("n").alias("weight"), F.transform(prefix, lambda p: p["spot"]).alias("prefix"), part.alias("part"))
-    posts = ranked.withColumn("spot", F.explode("prefix")).withColumn("shelf", F.explode(F.array("part", F.col("part") + 1)))
-    posts = steps.write(posts.select("item", "weight", "n", "part", "prefix", F.xxhash64("shelf", "spot").alias("key"), "shelf", "spot"))
+    shelves = F.array(part, part + 1)
+    keys = F.flatten(F.transform(shelves, lambda shelf: F.transform("prefix", lambda spot: F.xxhash64(shelf, spot))))
+    ranked = ranked.select("item", "n", F.size("spots").alias("shared"), F.transform(prefix, lambda p: p["spot"]).alias("prefix"))
+    known = steps.write(ranked.filter(F.col("shared") >= least * F.col("n")).select("item", "n", "shared", keys.alias("keys")))
+    posts = known.select("item", F.col("shared").alias("weight"), F.explode("keys").alias("key"))
 
     def verify(found: DataFrame) -> DataFrame:
         left = items.select(F.col("item").alias("a"), F.col("own").alias("x"))
@@ -148,12 +150,10 @@ def classes(prints: DataFrame, steps: Steps, least: float = LIKENESS) -> DataFra
         bound = F.least(F.size("x"), F.size("y")) >= least * F.greatest(F.size("x"), F.size("y"))
         return both.filter(bound).filter(likeness(F.col("x"), F.col("y")) >= least).select("a", "b")
 
-    fits = (
-        (F.least("x.n", "y.n") >= least * F.greatest("x.n", "y.n"))
-        & (F.element_at(F.array_intersect("x.prefix", "y.prefix"), 1) == F.col("x.spot"))
-        & (F.col("x.shelf") == F.greatest("x.part", "y.part"))
-    )
-    links = bucket_links(posts, verify, steps, ("n", "prefix", "part", "shelf", "spot"), fits)
+    # no more can be common than either set has in common with any other
+    most = F.least("x.shared", "y.shared")
+    fits = (most >= least * (F.col("x.n") + F.col("y.n") - most)) & (F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key"))
+    links = bucket_links(posts, verify, steps, known, fits)
     group = components(links, steps)
     placed = items.select("a", "b", "item", "class_id").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     lowest = placed.groupBy("component").agg(F.min("class_id").alias("class_id"))
