@@ -23,7 +23,7 @@ from .steps import Steps
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
-GROUP = 4096
+GROUP = 256
 ROUNDS = 200
 TOLERANCE = 1e-9
 
