@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import present
 from .joins import gathered
 
-MAX_LEVELS = 1000
 WIDE = 60  # outputs beyond which partial results outweigh the rows they stand for
 
 
@@ -40,21 +39,26 @@ def numeric_stats(columns: list[str], prefix: str, stats=("mean", "max", "min",
     ]
 
 
-def levels(df: DataFrame, columns: list[str], limit: int = MAX_LEVELS) -> dict[str, list]:
-    """The non-null values of low-cardinality columns, sorted; one pass for all columns.
+def levels(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    """The non-null values of columns that are to become columns, sorted; one pass for all of them.
 
-    Only the distinct values reach the driver, and a column with more than ``limit`` is refused.
+    The caller asks for one output column per value, so the list is as long as the schema of its result.
+    ``level_profile`` has the same numbers as rows, for any number of values.
     """
     columns = present(df, columns)
     if not columns:
         return {}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-    found = df.select(F.inline(pairs)).filter("v is not null").distinct().limit(limit * len(columns) + 1).collect()
-    out = {c: sorted(r.v for r in found if r.c == c) for c in columns}
-    for c, values in out.items():
-        if len(values) > limit:
-            raise ValueError(f"column {c} has more than {limit} values")
-    return out
+    found = df.select(F.inline(pairs)).filter("v is not null").distinct().collect()
+    return {c: sorted(r.v for r in found if r.c == c) for c in columns}
+
+
+def level_profile(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, column_name, level, n, rate): rows per value of every column and key, null as a value of its own; no limit on values."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("level")) for c in present(df, columns)])
+    counts = df.filter(F.col(key).isNotNull()).select(key, F.inline(pairs)).groupBy(key, "column_name", "level").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.groupBy(key, "column_name").agg(F.sum("n").alias("_all"))
+    return counts.join(total, [key, "column_name"]).select(key, "column_name", "level", "n", (F.col("n") / F.col("_all")).alias("rate"))
 
 
 def level_counts(column: str, prefix: str, values: list) -> list[Column]:

@@ -42,7 +42,7 @@ def text_frame(documents: DataFrame, labels: DataFrame) -> DataFrame:
     n = F.greatest(F.length(text), F.lit(1))
     without = lambda pattern: (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))) / n
     words = F.size(F.split(text, r"\s+"))
-    rows = spread(documents.select("doc_id", "lang", "source", "text")).select(
+    rows = documents.select("doc_id", "lang", "source", "text").select(
         "doc_id",
         "lang",
         "source",
@@ -69,6 +69,16 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFr
     return df.withColumn(name, weight_column(counts, label))
 
 
+def with_fold_class_weight(df: DataFrame, label: str, fold: str, name: str = "weight") -> DataFrame:
+    """Balanced weights of each fold by its own rows: with two folds, those of the training rows alone."""
+    counts = {(r[fold], int(r[label])): r["count"] for r in df.groupBy(fold, label).count().collect()}
+    total = {f: sum(n for (g, _), n in counts.items() if g == f) for f, _ in counts}
+    weight = F.lit(1.0)
+    for (f, y), n in counts.items():
+        weight = F.when((F.col(fold) == f) & (F.col(label) == y), total[f] / (2 * n)).otherwise(weight)
+    return df.withColumn(name, weight)
+
+
 def preparation(numerics: list[str], categories: list[str], scale: bool = True, one_hot: bool = True) -> list:
     """Stages that turn columns into one vector: impute, index, encode, assemble, scale."""
     stages = [Imputer(inputCols=numerics, outputCols=[f"{c}_filled" for c in numerics], strategy="median")]

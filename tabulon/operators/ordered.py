@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RANGE = "_range"
-MAX_RANGES = 4096
+GROUP = "_group"
+ROWS_PER_RANGE = 2_000_000
 
 
 def micros(ts: Column | str) -> Column:
@@ -29,7 +30,8 @@ def micros(ts: Column | str) -> Column:
 
 
 def range_count(df: DataFrame) -> int:
-    return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """At least one range per shuffle partition; ``cut_points`` makes more when the rows need them."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 @dataclass
@@ -40,16 +42,40 @@ class Cuts:
     heavy: list[float]
 
 
-def cut_points(df: DataFrame, order: str, ranges: int | None = None) -> Cuts:
-    """Approximate quantiles of a numeric column. The driver gets at most ``ranges`` numbers."""
+def cut_points(df: DataFrame, order: str | Column, ranges: int | None = None) -> Cuts:
+    """Approximate quantiles of a numeric column, so many that a range holds about ``ROWS_PER_RANGE`` rows at most.
+
+    The driver gets one number per range.
+    """
+    value = (F.col(order) if isinstance(order, str) else order).cast("double")
+
+    def ask(n: int):
+        probs = [i / n for i in range(1, n)]
+        row = df.agg(F.percentile_approx(value, probs, 4 * n).alias("q"), F.count(F.lit(1)).alias("n")).head()
+        return list(row.q or []), row.n
+
     n = ranges or range_count(df)
-    probs = [i / n for i in range(1, n)]
-    raw = df.select(F.col(order).cast("double").alias(order)).approxQuantile(order, probs, 1 / (4 * n))
+    raw, rows = ask(n)
+    if ranges is None and rows > n * ROWS_PER_RANGE:
+        raw, _ = ask(-(-rows // ROWS_PER_RANGE))
     heavy = sorted({v for v, w in zip(raw, raw[1:]) if v == w})
     points = sorted(set(raw) | {math.nextafter(v, math.inf) for v in heavy})
     return Cuts(points, heavy)
 
 
+def as_number(df: DataFrame, column: str) -> Column | None:
+    """A number in the order of the column, or null if there is none. Texts are placed by their first six bytes."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return micros(column).cast("double")
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    return None
+
+
 def with_ranges(df: DataFrame, order: str, points: list[float], name: str = RANGE) -> DataFrame:
     """Add the range number of ``order``; equal values share a range and ranges follow the order.
 
@@ -60,7 +86,7 @@ def with_ranges(df: DataFrame, order: str, points: list[float], name: str = RANG
     key = f"{name}_key"
     cut = Bucketizer(splits=[-math.inf, *points, math.inf], inputCol=key, outputCol=name, handleInvalid="keep")
     ranged = cut.transform(df.withColumn(key, F.col(order).cast("double"))).drop(key)
-    return ranged.withColumn(name, F.col(name).cast("int"))
+    return ranged.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(len(points) + 1)))
 
 
 @dataclass
@@ -83,20 +109,30 @@ _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 def _ranged(df: DataFrame, spec: Ordered, cuts: Cuts) -> DataFrame:
     out = with_ranges(df, spec.order, cuts.points)
-    tie = spec.tie[0] if spec.tie else None
-    if not cuts.heavy or tie is None or not isinstance(df.schema[tie].dataType, T.NumericType):
+    tie = as_number(df, spec.tie[0]) if cuts.heavy and spec.tie else None
+    if tie is None:
         return out
-    inner = cut_points(df, tie)
-    out = with_ranges(out, tie, inner.points, "_sub")
+    out = out.withColumn("_tie", tie)
+    inner = cut_points(out, "_tie")
+    out = with_ranges(out, "_tie", inner.points, "_sub")
     step = len(inner.points) + 2
     sub = F.when(F.col(spec.order).cast("double").isin(cuts.heavy), F.col("_sub")).otherwise(F.lit(0))
-    return out.withColumn(RANGE, F.col(RANGE) * step + sub).drop("_sub")
+    return out.withColumn(RANGE, F.col(RANGE) * step + sub).drop("_sub", "_tie")
 
 
 def ordered(df: DataFrame, spec: Ordered, cuts: Cuts | None = None) -> DataFrame:
-    """Add the columns of ``spec`` to every row of ``df``."""
+    """Add the columns of ``spec`` to every row of ``df``.
+
+    Values of a running aggregate follow the rows one by one; where ``order`` and ``tie`` leave rows
+    equal, which of them comes first is open. ``with_peers`` gives equal rows the same values.
+    """
     ranged = _ranged(df, spec, cuts or cut_points(df, spec.order))
-    keys = [*spec.keys, RANGE]
+    # One struct stands for the keys: its equality holds for null keys too and is plain, so the join
+    # with the carried values uses the partitioning of the window and rows are shuffled once.
+    if spec.keys:
+        ranged = ranged.withColumn(GROUP, F.struct(*spec.keys))
+    group = [GROUP] if spec.keys else []
+    keys = [*group, RANGE]
     local_order = W.partitionBy(*keys).orderBy(spec.order, *spec.tie)
     so_far = local_order.rowsBetween(W.unboundedPreceding, 0)
     at = F.struct(spec.order, *spec.tie)
@@ -118,13 +154,13 @@ def ordered(df: DataFrame, spec: Ordered, cuts: Cuts | None = None) -> DataFrame
         carry[f"_c_{out}"] = F.min_by(F.struct(F.col(column).alias("v")), at)
 
     ranges = ranged.groupBy(*keys).agg(*[c.alias(n) for n, c in carry.items()])
-    in_key = W.partitionBy(*spec.keys).orderBy(RANGE)
+    in_key = W.partitionBy(*group).orderBy(RANGE)
     before = in_key.rowsBetween(W.unboundedPreceding, -1)
     offsets = {"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0))}
     for out, (kind, _) in spec.running.items():
         offsets[f"_o_{out}"] = _MERGE[kind](f"_c_{out}").over(before)
     for out, (kind, _) in spec.total.items():
-        offsets[f"_o_{out}"] = _MERGE[kind](f"_c_{out}").over(W.partitionBy(*spec.keys))
+        offsets[f"_o_{out}"] = _MERGE[kind](f"_c_{out}").over(W.partitionBy(*group))
     for out in spec.lag:
         offsets[f"_o_{out}"] = F.lag(f"_c_{out}").over(in_key)
     for out in spec.lead:
@@ -132,8 +168,7 @@ def ordered(df: DataFrame, spec: Ordered, cuts: Cuts | None = None) -> DataFrame
     carried = ranges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c.alias(n) for n, c in offsets.items()])
 
     rows = ranged.withColumns(local) if local else ranged
-    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in spec.keys] + [F.col(RANGE) == F.col(f"_k_{RANGE}")]
-    joined = rows.join(carried, match, "inner")
+    joined = rows.join(carried, [F.col(k) == F.col(f"_k_{k}") for k in keys], "inner")
 
     result = [F.col(c) for c in df.columns]
     if spec.row_number:
@@ -153,6 +188,28 @@ def ordered(df: DataFrame, spec: Ordered, cuts: Cuts | None = None) -> DataFrame
     return joined.select(*result)
 
 
+def _by_value(df: DataFrame, placed: DataFrame, keys: list[str], order: str, out: list[str]) -> DataFrame:
+    """Join columns of the distinct (keys, order) of ``placed`` to the rows of ``df``.
+
+    The right side has one row per value, so the planner can split the rows of a value that is hot.
+    """
+    match = F.struct(*[F.col(k) for k in [*keys, order]])
+    right = placed.select(F.struct(*[F.col(k) for k in [*keys, order]]).alias("_k"), *out)
+    return df.withColumn("_v", match).join(right, F.col("_v") == F.col("_k"), "inner").select(*df.columns, *out)
+
+
+def with_peers(df: DataFrame, spec: Ordered) -> DataFrame:
+    """Running and total aggregates of ``spec`` where rows equal in ``order`` count together, as in the default frame of SQL.
+
+    The rows of a value are aggregated first, the running values go over the values and are joined back.
+    """
+    inputs = {**spec.running, **spec.total}
+    values = df.groupBy(*spec.keys, spec.order).agg(*[_AGG[kind](column).alias(f"_p_{out}") for out, (kind, column) in inputs.items()])
+    merge = lambda outs: {out: ("sum" if kind == "count" else kind, f"_p_{out}") for out, (kind, _) in outs.items()}
+    placed = ordered(values, Ordered(order=spec.order, keys=spec.keys, running=merge(spec.running), total=merge(spec.total)))
+    return _by_value(df, placed, spec.keys, spec.order, list(inputs))
+
+
 def ranked(
     df: DataFrame, order: str, keys: list[str] | None = None, rank: str | None = None, dense_rank: str | None = None
 ) -> DataFrame:
@@ -162,15 +219,12 @@ def ranked(
     placed = ordered(
         counts, Ordered(order=order, keys=keys, row_number="_dense", running={"_upto": ("sum", "_n")}), cut_points(df, order)
     )
-    out = []
+    out = {}
     if rank:
-        out.append((F.col("_upto") - F.col("_n") + 1).alias(rank))
+        out[rank] = F.col("_upto") - F.col("_n") + 1
     if dense_rank:
-        out.append(F.col("_dense").alias(dense_rank))
-    match = [*keys, order]
-    right = placed.select(*[F.col(k).alias(f"_k_{k}") for k in match], *out)
-    joined = df.join(right, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in match], "inner")
-    return joined.drop(*[f"_k_{k}" for k in match])
+        out[dense_rank] = F.col("_dense")
+    return _by_value(df, placed.withColumns(out), keys, order, list(out))
 
 
 def stable_hash(*columns: str, seed: int = 0) -> Column:

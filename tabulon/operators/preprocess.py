@@ -97,10 +97,9 @@ class OneHot:
         return df.withColumns(out).drop(self.column)
 
 
-def fit_one_hot(df: DataFrame, column: str, min_frequency: int = 1, max_levels: int | None = None, limit: int = 1000) -> OneHot:
-    rows = level_map(df, column, min_frequency, max_levels).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"column {column} has more than {limit} levels")
+def fit_one_hot(df: DataFrame, column: str, min_frequency: int = 1, max_levels: int | None = None) -> OneHot:
+    """The levels that become columns; the list is as long as the schema of the result."""
+    rows = level_map(df, column, min_frequency, max_levels).collect()
     kept = sorted(r.level for r in rows if r.grouped != "infrequent")
     return OneHot(column, kept, sorted(r.level for r in rows if r.grouped == "infrequent"))
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.layout import spread
 from ..sources.scratch import durable
 from .joins import join_hot
 from .ordered import Ordered, ordered
@@ -21,24 +20,30 @@ def tokens(text):
     return F.concat(F.array(F.lit(START)), F.split(F.lower(F.trim(text)), r"\s+"), F.array(F.lit(END)))
 
 
-def transitions(df: DataFrame, keys: list[str], order: str, state: str) -> DataFrame:
+def transitions(df: DataFrame, keys: list[str], order: str, state: str, tie: str | None = None) -> DataFrame:
     """(state, next, n, p): counts and shares of the steps between neighbouring rows of a key."""
-    step = ordered(df, Ordered(order=order, keys=keys, lead={"next": state})).filter("next is not null")
+    step = ordered(df, Ordered(order=order, keys=keys, tie=[tie] if tie else [], lead={"next": state})).filter("next is not null")
     counts = step.groupBy(F.col(state).alias("state"), "next").agg(F.count(F.lit(1)).alias("n"))
     out = counts.groupBy("state").agg(F.sum("n").alias("_out"))
     return counts.join(out, "state").select("state", "next", "n", (F.col("n") / F.col("_out")).alias("p"))
 
 
-def stationary(steps: DataFrame, tolerance: float = 1e-12, every: int = 5, rounds: int = 200) -> DataFrame:
-    """The distribution that the steps leave unchanged, by repeated steps from the uniform one.
+def stationary(steps: DataFrame, tolerance: float = 1e-12, every: int = 5, rounds: int = 2000) -> DataFrame:
+    """The distribution that the steps leave unchanged, by repeated half steps from the uniform one.
 
-    Works on tables, so the number of states may be large; every few rounds the current distribution
-    is written out, which cuts the lineage and gives the change to compare with ``tolerance``.
+    Half of the mass stays where it is in every round, so a chain that swings between groups of states
+    settles too, on the same distribution. A state without a way out keeps its mass; a state that nothing
+    enters ends with none and stays in the result. Works on tables, so the number of states may be large; every few rounds the
+    current distribution is written out, which cuts the lineage and gives the change to compare
+    with ``tolerance``. Raises if it is not met after ``rounds``.
     """
     steps = durable(steps.select("state", "next", "p"))
-    states = steps.select("state").union(steps.select("next")).distinct()
-    n = states.count()
-    pi = states.withColumn("pi", F.lit(1.0 / n))
+    states = durable(steps.select("state").union(steps.select("next")).distinct())
+    ends = states.join(steps.select("state").distinct(), "state", "left_anti")
+    stay = ends.select("state", F.col("state").alias("next"), F.lit(1.0).alias("p"))
+    half = steps.union(stay).select("state", "next", (F.col("p") / 2).alias("p"))
+    steps = durable(half.union(states.select("state", F.col("state").alias("next"), F.lit(0.5).alias("p"))))
+    pi = states.withColumn("pi", F.lit(1.0 / max(1, states.count())))
     for i in range(1, rounds + 1):
         last = pi
         pi = steps.join(pi, "state").groupBy(F.col("next").alias("state")).agg(F.sum(F.col("pi") * F.col("p")).alias("pi"))
@@ -46,9 +51,10 @@ def stationary(steps: DataFrame, tolerance: float = 1e-12, every: int = 5, round
             gap = pi.join(last.withColumnRenamed("pi", "old"), "state").select("state", "pi", F.abs(F.col("pi") - F.col("old")).alias("gap"))
             gap = durable(gap)
             pi = gap.select("state", "pi")
-            if gap.agg(F.max("gap")).head()[0] < tolerance:
-                break
-    return pi
+            worst = gap.agg(F.max("gap")).head()[0]
+            if worst is None or worst < tolerance:
+                return pi
+    raise RuntimeError(f"not settled after {rounds} rounds")
 
 
 def pair_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -60,11 +66,11 @@ def pair_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
             F.slice(t, F.lit(1), F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda a, b: F.struct(a.alias("prev"), b.alias("cur"))
         ),
     )
-    return spread(df.select(*keep, text)).select(*keep, F.inline(pairs[0]))
+    return df.select(*keep, text).select(*keep, F.inline(pairs[0]))
 
 
 def unigrams(df: DataFrame, text: str) -> DataFrame:
-    return spread(df.select(text)).select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(text).select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def bigrams(df: DataFrame, text: str) -> DataFrame:
@@ -83,12 +89,13 @@ def smoothed(count, context, alpha: float, size):
 def perplexity(model: DataFrame, model_text: str, df: DataFrame, key: str, text: str, alpha: float = 0.5) -> DataFrame:
     """Log-probability and perplexity of every text under the pair counts of ``model``.
 
-    Each text is reduced to its distinct pairs with counts, and of the model only the pairs that
-    some text asks for are counted.
+    Each text is reduced to its distinct pairs with counts, and of the model's counts only the pairs that
+    some text asks for are kept.
     """
     rows = pair_rows(df, text, key).groupBy(key, "prev", "cur").agg(F.count(F.lit(1)).alias("_k"))
     wanted = rows.select("prev", "cur").distinct()
-    bi = pair_rows(model, model_text).join(wanted, ["prev", "cur"], "left_semi").groupBy("prev", "cur").agg(F.count(F.lit(1)).alias("n"))
+    # pairs are counted where they are read, and only the counts are shuffled to the join
+    bi = bigrams(model, model_text).join(wanted, ["prev", "cur"], "left_semi")
     uni = unigrams(model, model_text)
     seen = rows.join(bi, ["prev", "cur"], "left").join(
         uni.select(F.col("token").alias("prev"), F.col("n").alias("context")), "prev", "left"
@@ -106,9 +113,7 @@ def hmm_tables(df: DataFrame, seq: str, order: str, word: str, tag: str, alpha:
     """
     rows = df.select(seq, order, F.col(word).alias("word"), F.col(tag).alias("tag"))
     tag_counts = rows.groupBy("tag").agg(F.count(F.lit(1)).alias("tag_n"))
-    tags = sorted(r.tag for r in tag_counts.select("tag").limit(1001).collect())
-    if len(tags) > 1000:
-        raise ValueError("more than 1000 tags")
+    tags = sorted(r.tag for r in tag_counts.select("tag").collect())  # the model itself has a number per pair of tags
     k = float(len(tags))
     spark = df.sparkSession
     grid = spark.createDataFrame([(t,) for t in tags], "tag string")

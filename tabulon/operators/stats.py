@@ -71,9 +71,20 @@ def normal_tail(z: Column) -> Column:
     return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
+# Coefficients of the Lanczos approximation of the gamma function with g = 7, error below 1e-14.
+LANCZOS_G = 7.0
+LANCZOS = (
+    0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
+    12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7,
+)
+
+
 def log_factorial(n: Column) -> Column:
-    steps = F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int"))
-    return F.aggregate(steps, F.lit(0.0), lambda s, k: s + F.ln(k.cast("double")))
+    """ln(n!) by one closed formula, whatever the size of n."""
+    x = n.cast("double")
+    series = sum((F.lit(c) / (x + i) for i, c in enumerate(LANCZOS) if i), F.lit(LANCZOS[0]))
+    t = x + LANCZOS_G + 0.5
+    return F.when(x < 2, 0.0).otherwise(0.5 * math.log(2 * math.pi) + (x + 0.5) * F.ln(t) - t + F.ln(series))
 
 
 def binomial_pmf(k: Column, n: Column, p: float) -> Column:
@@ -82,8 +93,24 @@ def binomial_pmf(k: Column, n: Column, p: float) -> Column:
 
 
 def poisson_cdf(k: Column, mean: float) -> Column:
-    terms = F.transform(F.sequence(F.lit(0), k.cast("int")), lambda i: F.exp(i * math.log(mean) - mean - log_factorial(i)))
-    return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
+    """P(X <= k). The terms fall off on either side of the mean, so the side of k away from it is summed:
+    a number of terms that depends on the mean alone."""
+    terms = F.array(*[F.lit(float(j)) for j in range(1, int(40 + 12 * math.sqrt(mean)) + 1)])
+    x = F.floor(k).cast("double")
+    pmf = lambda i: F.exp(i * math.log(mean) - mean - log_factorial(i))
+
+    def series(ratio) -> Column:
+        one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+        def add(s, j):
+            term = s["term"] * ratio(j)
+            return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+        return F.aggregate(terms, one, add, lambda s: s["total"])
+
+    above = 1 - pmf(x + 1) * series(lambda j: mean / (x + 1 + j))
+    below = pmf(x) * series(lambda j: F.greatest(x - j + 1, F.lit(0.0)) / mean)
+    return F.when(x < 0, 0.0).when(x >= mean, above).otherwise(below)
 
 
 def exponential_tail(x: Column, rate: float) -> Column:
@@ -120,12 +147,14 @@ def adjust_p_values(df: DataFrame, p: str, key: str) -> DataFrame:
 
 def bootstrap_means(df: DataFrame, key: str, value: str, replicates: int, seed: int = 42) -> DataFrame:
     """One mean per replicate. Each row enters a replicate a Poisson(1) number of times, drawn by a hash."""
-    cdf, total = [], 0.0
-    for k in range(12):
-        total += math.exp(-1) / math.factorial(k)
-        cdf.append(total)
     rep = df.select(key, F.col(value).cast("double").alias("x"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
     u = (F.pmod(F.xxhash64(key, "replicate", F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    weight = sum(((u > c).cast("int") for c in cdf), F.lit(0))
+    # steps of the distribution as far as the 2**40 values of u reach: no draw lies beyond the last
+    steps, total, k = [], 0.0, 0
+    while total < 1 - 2.0**-42:
+        total += math.exp(-1) / math.factorial(k)
+        steps.append(total)
+        k += 1
+    weight = sum(((u > c).cast("int") for c in steps), F.lit(0))
     w = rep.withColumn("w", weight).filter("w > 0")
     return w.groupBy("replicate").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))

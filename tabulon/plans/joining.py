@@ -85,12 +85,12 @@ def stamp(c):
 
 @query(
     "jon6",
-    """WITH a AS (SELECT o_custkey, count(*) AS urgent FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000 GROUP BY 1),
-       b AS (SELECT o_custkey, count(*) AS low FROM orders WHERE o_orderpriority = '5-LOW' AND o_totalprice > 300000 GROUP BY 1)
+    """WITH a AS (SELECT o_custkey, count(*) AS urgent FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+       b AS (SELECT o_custkey, count(*) AS low FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY 1)
        SELECT coalesce(a.o_custkey, b.o_custkey) AS custkey, coalesce(urgent, 0) AS urgent, coalesce(low, 0) AS low FROM a FULL JOIN b ON a.o_custkey = b.o_custkey""",
 )
 def full_join(t):
-    big = t.orders.filter("o_totalprice > 300000").withColumnRenamed("o_custkey", "custkey")
+    big = t.orders.withColumnRenamed("o_custkey", "custkey")
     a = big.filter("o_orderpriority = '1-URGENT'").groupBy("custkey").agg(F.count("*").alias("urgent"))
     b = big.filter("o_orderpriority = '5-LOW'").groupBy("custkey").agg(F.count("*").alias("low"))
     return a.join(b, "custkey", "full").fillna(0, ["urgent", "low"])
@@ -278,12 +278,11 @@ def merge_with_null_keys(t):
 @query(
     "jon19",
     """SELECT c_custkey, n_orders, round(total, 2) AS total FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total FROM orders
-       WHERE o_orderstatus = 'F' AND o_totalprice > 200000 GROUP BY 1) ON c_custkey = o_custkey""",
+       GROUP BY 1) ON c_custkey = o_custkey""",
 )
 def attach_aggregates(t):
     agg = (
-        t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 200000")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        t.orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count("*").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
     return t.customer.select("c_custkey").join(agg, "c_custkey", "left")
@@ -291,12 +290,12 @@ def attach_aggregates(t):
 
 @query(
     "jon20",
-    """WITH a AS (SELECT o_custkey AS k, count(*) AS n_orders FROM orders WHERE o_totalprice > 450000 GROUP BY 1),
+    """WITH a AS (SELECT o_custkey AS k, count(*) AS n_orders FROM orders GROUP BY 1),
        b AS (SELECT user_id AS k, count(*) AS n_events, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END)::BIGINT AS n_errors FROM events GROUP BY 1)
        SELECT coalesce(a.k, b.k) AS k, n_orders, n_events, n_errors FROM a FULL JOIN b ON a.k = b.k""",
 )
 def align_frames(t):
-    a = t.orders.filter("o_totalprice > 450000").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n_orders"))
+    a = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n_orders"))
     b = t.events.groupBy(F.col("user_id").alias("k")).agg(
         F.count("*").alias("n_events"), F.count_if(F.col("event_type") == "error").alias("n_errors")
     )

@@ -266,19 +266,19 @@ def silhouette(t):
 
 @query(
     "mlb19",
-    """WITH x AS (SELECT label, list_position(embedding[1:10], list_max(embedding[1:10])) AS c FROM embeddings), n AS (SELECT label, c, count(*) AS n FROM x GROUP BY 1, 2),
+    """WITH x AS (SELECT label, list_position(embedding, list_max(embedding)) AS c FROM embeddings), n AS (SELECT label, c, count(*) AS n FROM x GROUP BY 1, 2),
        a AS (SELECT sum(s * (s - 1) / 2) AS a FROM (SELECT sum(n) AS s FROM n GROUP BY label)), b AS (SELECT sum(s * (s - 1) / 2) AS b FROM (SELECT sum(n) AS s FROM n GROUP BY c)),
        s AS (SELECT sum(n * (n - 1) / 2) AS s, sum(n) * (sum(n) - 1) / 2 AS t FROM n) SELECT round((s - a * b / t) / ((a + b) / 2 - a * b / t), 8) + 0 AS adjusted_rand FROM a, b, s""",
 )
 def rand_index(t):
-    first = F.slice("embedding", 1, 10)
-    df = t.embeddings.select("label", F.array_position(first, F.array_max(first)).alias("c"))
+    df = t.embeddings.select("label", F.array_position("embedding", F.array_max("embedding")).alias("c"))
     return K.adjusted_rand(df, "label", "c").select(R("adjusted_rand", 8).alias("adjusted_rand"))
 
 
 @query("mlb20")
 def density(t):
-    points = t.embeddings.select("vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    """Over the two main axes of the whole vectors."""
+    points = durable(projection(t).select("vec_id", F.col("pc1").alias("x"), F.col("pc2").alias("y")))
     return K.density_clusters(points, "vec_id", ["x", "y"], eps=0.02, min_samples=5)
 
 
@@ -346,7 +346,7 @@ def feature_set_comparison(t):
 
 @query("evl14")
 def parameter_search(t):
-    df = M.with_class_weight(folded(t, 2), Y)
+    df = M.with_fold_class_weight(folded(t, 2), Y, "fold")
     pipe = M.logistic_pipeline(NUM, [], Y, 8)
     lr = pipe.getStages()[-1]
     settings = M.sampled_settings({"regParam": (0.001, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, 3)
@@ -505,7 +505,9 @@ def batch_scoring(t):
     inputs = ["CREDIT_INCOME_RATIO", "EXT_SOURCE_MEAN", "ADV_BURO_CLOSED_RECORD_COUNT", "ADV_BURO_ACTIVE_RECORD_COUNT", "TE_APP_ORGANIZATION_TYPE"]
 
     def prepared(rows, encoding, mean):
-        out = E.apply_encoding(rows, "ORGANIZATION_TYPE", encoding, F.lit(mean), "TE_APP_ORGANIZATION_TYPE")
+        return complete(E.apply_encoding(rows, "ORGANIZATION_TYPE", encoding, F.lit(mean), "TE_APP_ORGANIZATION_TYPE"))
+
+    def complete(out):
         out = C.align(out, {X.KEY: "bigint", **{c: "double" for c in inputs}, **({"TARGET": "int"} if "TARGET" in out.columns else {})})
         return out.fillna(0.0, inputs)
 
@@ -513,7 +515,9 @@ def batch_scoring(t):
     train, new = data.filter("fold <> 0"), data.filter("fold = 0").drop("TARGET")
     encoding = E.fit_encoding(train, "ORGANIZATION_TYPE", "TARGET")
     mean = train.agg(F.avg("TARGET")).head()[0]
-    fit = durable(M.with_class_weight(prepared(train, encoding, mean), "TARGET"))
+    # a training row is encoded by the other training folds, a new row by all of them
+    apart = E.out_of_fold(train, "ORGANIZATION_TYPE", "TARGET", "fold", "TE_APP_ORGANIZATION_TYPE")
+    fit = durable(M.with_class_weight(complete(apart), "TARGET"))
     folder = scratch_path(t.spark, "scoring")
     M.save_bundle(M.logistic_pipeline(inputs, [], "TARGET", 10).fit(fit), f"{folder}/a", threshold=0.5, weight=0.6, mean=mean)
     M.save_bundle(M.tree_pipeline(inputs, [], "TARGET", 4).fit(fit), f"{folder}/b", threshold=0.5)

@@ -185,13 +185,13 @@ def infinity_to_null(t):
     )
 
 
-@query("prj17")
+@query("prj17", "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer")
 def tolerant_columns(t):
     wanted = ["c_custkey", "c_phone", "c_acctbal", "c_custkey", "c_mktsegment"]
     return t.customer.select(*C.present(t.customer, wanted))
 
 
-@query("prj18")
+@query("prj18", "SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem")
 def columns_by_name(t):
     df = t.lineitem
     return df.select(*C.columns_like(df, prefix="l_", suffix=("key", "price"), numeric=True))
@@ -386,9 +386,13 @@ def clip_values(t):
     return t.customer.select("c_custkey", C.clip(part, low=0.0).alias("low_clip"), C.clip("c_acctbal", -20.0, 5000.0).alias("both_clip"))
 
 
-@query("prj33")
+@query(
+    "prj33",
+    """SELECT c_custkey AS o_custkey, c_acctbal, round(total, 2) AS total, n, largest FROM customer
+       LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n, max(o_totalprice) AS largest FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
+)
 def wide_matrix(t):
-    spend = t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"), F.count("*").alias("n"))
+    spend = t.orders.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("n"))
     last = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("largest"))
     base = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
     return C.first_of_each_name([base, spend, last], "o_custkey")

@@ -400,11 +400,11 @@ def nested_access(t):
 
 @query(
     "nst2",
-    r"""SELECT doc_id, unnest(list_filter(string_split(text, chr(10)), lambda s: length(s) > 200)) AS line FROM documents""",
+    r"""SELECT doc_id, unnest(list_filter(string_split(text, chr(10)), lambda s: length(s) > 0)) AS line FROM documents""",
 )
 def unnest_array(t):
     # Rows whose array is empty drop out.
-    lines = F.filter(F.split("text", "\n"), lambda s: F.length(s) > 200)
+    lines = F.filter(F.split("text", "\n"), lambda s: F.length(s) > 0)
     return t.documents.select("doc_id", F.explode(lines).alias("line"))
 
 

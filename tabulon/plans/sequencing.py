@@ -15,12 +15,12 @@ MODEL = rf"""tok AS (SELECT doc_id, {TOK} AS t FROM documents), u AS (SELECT unn
 
 @query(
     "seq1",
-    """WITH s AS (SELECT event_type AS state, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events), c AS (SELECT state, next, count(*) AS n FROM s WHERE next IS NOT NULL GROUP BY 1, 2)
+    """WITH s AS (SELECT event_type AS state, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events), c AS (SELECT state, next, count(*) AS n FROM s WHERE next IS NOT NULL GROUP BY 1, 2)
        SELECT state, next, n, round(n / sum(n) OVER (PARTITION BY state), 10) AS p FROM c""",
 )
 def transition_table(t):
-    df = t.events.select("user_id", micros("ts").alias("at"), "event_type")
-    return Q.transitions(df, ["user_id"], "at", "event_type").withColumn("p", R("p", 10))
+    df = t.events.select("event_id", "user_id", micros("ts").alias("at"), "event_type")
+    return Q.transitions(df, ["user_id"], "at", "event_type", "event_id").withColumn("p", R("p", 10))
 
 
 @query("seq1_frequency", "SELECT event_type AS state, round(count(*) / (SELECT count(*) FROM events), 10) AS share FROM events GROUP BY 1")
@@ -29,10 +29,18 @@ def state_shares(t):
     return counts.select("state", R(F.col("n") / counts.agg(F.sum("n")).scalar(), 10).alias("share"))
 
 
-@query("seq2")
+@query(
+    "seq2",
+    """WITH RECURSIVE s AS (SELECT event_type AS state, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events),
+       c AS (SELECT state, next, count(*) AS n FROM s WHERE next IS NOT NULL GROUP BY 1, 2), p AS (SELECT state, next, n / sum(n) OVER (PARTITION BY state) AS p FROM c),
+       v AS (SELECT state FROM p UNION SELECT next FROM p), k AS (SELECT count(*) AS k FROM v),
+       r AS (SELECT 0 AS i, state, 1.0::DOUBLE / k AS pi FROM v, k
+             UNION ALL SELECT i + 1, q.next, sum(q.p * pi) FROM r JOIN (SELECT state, next, p / 2 AS p FROM p UNION ALL SELECT state, state, 0.5 FROM v) q ON q.state = r.state WHERE i < 200 GROUP BY i, q.next)
+       SELECT state, round(sum(pi), 8) AS pi FROM r WHERE i = 200 GROUP BY 1""",
+)
 def stationary_distribution(t):
-    df = t.events.select("user_id", micros("ts").alias("at"), "event_type")
-    return Q.stationary(Q.transitions(df, ["user_id"], "at", "event_type"))
+    df = t.events.select("event_id", "user_id", micros("ts").alias("at"), "event_type")
+    return Q.stationary(Q.transitions(df, ["user_id"], "at", "event_type", "event_id")).select("state", R("pi", 8).alias("pi"))
 
 
 @query("seq3", f"WITH {MODEL} SELECT prev, cur, n FROM bi")

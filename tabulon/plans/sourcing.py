@@ -57,8 +57,11 @@ def extract(t):
 
 @query("src6")
 def table_schemas(t):
-    frames = {n: getattr(t, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
-    return t.spark.createDataFrame(Io.describe_tables(frames), "table_name string, column_name string, type string, nullable boolean")
+    """Every table of the data set's folder with its columns and a preview value of each."""
+    frames = {n: getattr(t, n) for n in Io.list_tables(t.spark, t.path)}
+    previews = {n: Io.examples(df) for n, df in frames.items()}
+    rows = [(n, c, kind, null, previews[n][c]) for n, c, kind, null in Io.describe_tables(frames)]
+    return t.spark.createDataFrame(rows, "table_name string, column_name string, type string, nullable boolean, example string")
 
 
 @query("src7")

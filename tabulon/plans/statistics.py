@@ -178,17 +178,25 @@ def discrete_moments(t):
     )
 
 
-@query("sta13")
+@query(
+    "sta13",
+    """WITH u AS (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'error') AS k, avg(value) AS v FROM events GROUP BY 1),
+       z AS (SELECT *, (k - n * 0.2) / sqrt(n * 0.16) AS z FROM u), w AS (SELECT *, 1 / (1 + 0.2316419 * abs(z)) AS t FROM z),
+       x AS (SELECT *, exp(-z * z / 2) / sqrt(2 * pi()) * (0.319381530 * t - 0.356563782 * t * t + 1.781477937 * pow(t, 3) - 1.821255978 * pow(t, 4) + 1.330274429 * pow(t, 5)) AS up FROM w)
+       SELECT user_id, round(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(0.2) + (n - k) * ln(0.8)), 8) AS binomial,
+       round((SELECT sum(exp(i * ln(2) - 2 - lgamma(i + 1))) FROM range(0, k + 1) r(i)), 8) AS poisson,
+       round(CASE WHEN z >= 0 THEN up ELSE 1 - up END, 8) AS normal_tail, round(exp(-0.2 * v), 8) AS exponential_tail FROM x""",
+)
 def probabilities(t):
     users = t.events.groupBy("user_id").agg(
         F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("k"), F.avg("value").alias("v")
     )
     return users.select(
         "user_id",
-        St.binomial_pmf(F.col("k"), F.col("n"), 0.2).alias("binomial"),
-        St.poisson_cdf(F.col("k"), 2.0).alias("poisson"),
-        St.normal_tail((F.col("k") - F.col("n") * 0.2) / F.sqrt(F.col("n") * 0.16)).alias("normal_tail"),
-        St.exponential_tail(F.col("v"), 0.2).alias("exponential_tail"),
+        R(St.binomial_pmf(F.col("k"), F.col("n"), 0.2), 8).alias("binomial"),
+        R(St.poisson_cdf(F.col("k"), 2.0), 8).alias("poisson"),
+        R(St.normal_tail((F.col("k") - F.col("n") * 0.2) / F.sqrt(F.col("n") * 0.16)), 8).alias("normal_tail"),
+        R(St.exponential_tail(F.col("v"), 0.2), 8).alias("exponential_tail"),
     )
 
 
@@ -259,16 +267,16 @@ def bootstrap(t):
 
 
 PAIRS = """m AS (SELECT event_type AS g, count(value) AS n, avg(value) AS mean, var_samp(value) AS v FROM events GROUP BY 1),
-  p AS (SELECT a.g AS g_a, b.g AS g_b, a.n AS na, b.n AS nb, a.mean AS ma, b.mean AS mb, a.v AS va, b.v AS vb FROM m a JOIN m b ON a.g < b.g)"""
+  p AS (SELECT a.g AS g_a, b.g AS g_b, a.n AS na, b.n AS nb, a.mean AS ma, b.mean AS mb, a.v AS va, b.v AS vb FROM m a JOIN m b ON a.g = (SELECT min(g) FROM m) AND a.g < b.g)"""
 
 
-def pairs(t):
-    """The moments of every two event types, one row per pair. The list of types is refused when it is long."""
-    levels(t.events, ["event_type"], limit=100)
+def pairs(t, control: str | None = None):
+    """The moments of a control group (the first event type if none is named) beside those of every other group: one row per group."""
     m = St.moments(t.events, ["event_type"], "value")
-    every = m.agg(F.array_sort(F.collect_list(F.struct(*m.columns))).alias("g")).withColumn("i", F.explode(F.sequence(F.lit(0), F.size("g") - 1)))
-    later = every.select(F.col("g")[F.col("i")].alias("a"), F.explode(F.slice("g", F.col("i") + 2, F.size("g"))).alias("b"))
-    return later.select(*[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in ("a", "b") for c in m.columns])
+    first = F.lit(control) if control is not None else t.events.agg(F.min("event_type")).scalar()
+    a = m.filter(F.col("event_type") == first).select(F.struct(*m.columns).alias("a")).agg(F.first("a").alias("a")).scalar()
+    rows = m.withColumn("a", a).filter(F.col("event_type") != F.col("a.event_type"))
+    return rows.select(*[F.col(f"a.{c}").alias(f"{c}_a") for c in m.columns], *[F.col(c).alias(f"{c}_b") for c in m.columns])
 
 
 @query(
@@ -280,10 +288,14 @@ def welch_test(t):
     return pairs(t).select(F.col("event_type_a").alias("g_a"), F.col("event_type_b").alias("g_b"), R(stat, 6).alias("t"), R(df, 4).alias("df"))
 
 
-@query("sta18_p")
+@query(
+    "sta18_p",
+    f"""WITH {PAIRS}, s AS (SELECT g_a AS event_type_a, g_b AS event_type_b, abs((ma - mb) / sqrt(va / na + vb / nb)) AS z FROM p), w AS (SELECT *, 1 / (1 + 0.2316419 * z) AS t FROM s)
+        SELECT event_type_a, event_type_b, round(2 * exp(-z * z / 2) / sqrt(2 * pi()) * (0.319381530 * t - 0.356563782 * t * t + 1.781477937 * pow(t, 3) - 1.821255978 * pow(t, 4) + 1.330274429 * pow(t, 5)), 7) AS p_value FROM w""",
+)
 def welch_p_value(t):
     stat, df = St.welch("_a", "_b")
-    return pairs(t).select("event_type_a", "event_type_b", (2 * St.normal_tail(F.abs(stat))).alias("p_value"))
+    return pairs(t).select("event_type_a", "event_type_b", R(2 * St.normal_tail(F.abs(stat)), 7).alias("p_value"))
 
 
 @query(

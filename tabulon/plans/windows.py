@@ -3,7 +3,7 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.ordered import Ordered, micros, ordered, ranked
+from ..operators.ordered import Ordered, micros, ordered, ranked, with_peers
 from ..registry import query
 
 R = F.round
@@ -35,12 +35,12 @@ def running_total(t):
 
 @query(
     "win2_rows",
-    """SELECT event_id, user_id, sum(CAST(floor(value) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)::BIGINT AS spent,
-       count(*) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nth FROM events""",
+    """SELECT event_id, user_id, sum(CAST(floor(value) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS spent,
+       count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS nth FROM events""",
 )
 def running_total_rows(t):
     df = t.events.select("event_id", "user_id", micros("ts").alias("at"), F.floor("value").alias("v"))
-    out = ordered(df, Ordered(order="at", keys=["user_id"], running={"spent": ("sum", "v")}, row_number="nth"))
+    out = ordered(df, Ordered(order="at", keys=["user_id"], tie=["event_id"], running={"spent": ("sum", "v")}, row_number="nth"))
     return out.select("event_id", "user_id", "spent", "nth")
 
 
@@ -99,7 +99,7 @@ def aggregate_windows(t):
         running={"n": ("count", "v"), "total": ("sum", "v"), "lo": ("min", "value"), "hi": ("max", "value")},
         total={"n_all": ("count", "v")},
     )
-    return ordered(df, spec).select(
+    return with_peers(df, spec).select(
         "event_id", "user_id", "n", "total", R(F.col("total") / F.col("n"), 8).alias("mean"), "lo", "hi", "n_all"
     )
 
@@ -133,30 +133,33 @@ def rank_descending(t):
 
 @query(
     "win10",
-    """SELECT event_id, user_id, date_sub('minute', lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 SECOND, ts) AS prev_break FROM events""",
+    """SELECT event_id, user_id, date_sub('minute', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 SECOND, ts) AS prev_break FROM events""",
 )
 def gap_minutes(t):
     df = t.events.select("event_id", "user_id", "ts", micros("ts").alias("at"), (F.col("ts") + F.expr("INTERVAL 30 SECOND")).alias("end"))
-    out = ordered(df, Ordered(order="at", keys=["user_id"], lag={"prev": "end"}))
+    out = ordered(df, Ordered(order="at", keys=["user_id"], tie=["event_id"], lag={"prev": "end"}))
     return out.select("event_id", "user_id", F.timestamp_diff("MINUTE", F.col("prev"), F.col("ts")).alias("prev_break"))
 
 
-@query("win11", "SELECT event_id, user_id, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS next_type FROM events")
+@query("win11", "SELECT event_id, user_id, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_type FROM events")
 def next_row(t):
     df = t.events.select("event_id", "user_id", "event_type", micros("ts").alias("at"))
-    return ordered(df, Ordered(order="at", keys=["user_id"], lead={"next_type": "event_type"})).drop("at", "event_type")
+    return ordered(df, Ordered(order="at", keys=["user_id"], tie=["event_id"], lead={"next_type": "event_type"})).drop("at", "event_type")
 
 
 @query(
     "win12",
     """SELECT event_id, first_value(event_id) OVER w AS first_id, last_value(event_id) OVER w AS last_id FROM events
-       WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+       WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 )
 def first_and_last(t):
     # Ends of a partition are plain aggregates, which combine before the shuffle.
     df = t.events.withColumn("day", F.to_date("ts"))
-    ends = df.groupBy("user_id", "day").agg(F.min_by("event_id", "ts").alias("first_id"), F.max_by("event_id", "ts").alias("last_id"))
-    return df.join(ends, ["user_id", "day"]).select("event_id", "first_id", "last_id")
+    at = F.struct("ts", "event_id")
+    ends = df.groupBy("user_id", "day").agg(F.min_by("event_id", at).alias("first_id"), F.max_by("event_id", at).alias("last_id"))
+    # one row per user and day on the right: the planner splits the rows of a hot day
+    ends = ends.select(F.struct("user_id", "day").alias("k"), "first_id", "last_id")
+    return df.join(ends, F.struct("user_id", "day") == F.col("k")).select("event_id", "first_id", "last_id")
 
 
 @query(

@@ -96,6 +96,20 @@ def describe_tables(frames: dict[str, DataFrame]) -> list[tuple[str, str, str, b
     ]
 
 
+def list_tables(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the Parquet tables in a folder of any file system that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [f.getPath().getName() for f in found]
+    return sorted(n.removesuffix(".parquet") for n in names if n.endswith(".parquet"))
+
+
+def examples(df: DataFrame) -> dict[str, str]:
+    """The smallest value of every column as text: a preview that is the same in every run."""
+    row = df.agg(*[F.min(F.col(c).cast("string")).alias(c) for c in df.columns]).head()
+    return row.asDict()
+
+
 def scan_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of the bytes all scans of a plan read; runs nothing."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

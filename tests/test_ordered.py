@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabulon.operators.joins import join_hot, multiplicity
-from tabulon.operators.ordered import Ordered, cut_points, ordered, ranked, with_ranges
+from tabulon.operators.ordered import Ordered, cut_points, ordered, ranked, with_peers, with_ranges
 from tabulon.operators.quantiles import exact_quantiles, with_quantiles
 
 
@@ -110,3 +110,28 @@ def test_multiplicity(spark):
     b = spark.createDataFrame([(1,), (1,), (1,), (3,)], "k int")
     r = multiplicity(a, b, "k").head()
     assert (r.left_max, r.right_max, r.joined_rows, r.kind) == (2, 3, 6, "N:N")
+
+
+def test_peers_share_running_values(spark):
+    rows = [(i, i % 3 if i % 7 else None, (i * 7) % 5 if i % 11 else None, i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, g int, o int, v int")
+    spec = Ordered(order="o", keys=["g"], running={"n": ("count", "v"), "s": ("sum", "v"), "lo": ("min", "v")}, total={"all": ("count", "v")})
+    got = {r.id: (r.n, r.s, r.lo, r["all"]) for r in with_peers(df, spec).collect()}
+    last = lambda o: (o is None, o)
+    for i, g, o, _ in rows:
+        mine = [v for _, h, p, v in rows if h == g]
+        upto = [v for _, h, p, v in rows if h == g and (p is None) <= (o is None) and (last(p) <= last(o) if p is not None and o is not None else o is None)]
+        assert got[i] == (len(upto), sum(upto), min(upto), len(mine)), i
+
+
+def test_one_exchange_of_rows(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS g", "id % 13 AS o")
+    plan = ordered(df, Ordered(order="o", keys=["g"], tie=["id"], row_number="rn"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_group") + plan.count("hashpartitioning(_k__group") <= 3
+
+
+def test_text_ties_are_cut(spark):
+    df = spark.range(3000).selectExpr("id", "1 AS o", "concat('k', lpad(cast(id * 7919 % 3000 AS string), 5, '0')) AS name")
+    got = ordered(df, Ordered(order="o", tie=["name"], row_number="rn")).collect()
+    assert [r.name for r in sorted(got, key=lambda r: r.rn)] == sorted(r.name for r in got)
+    assert sorted(r.rn for r in got) == list(range(1, 3001))

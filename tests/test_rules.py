@@ -257,3 +257,45 @@ def test_first_rows_of_a_large_table(spark):
     far = spark.range(20_000).select((F.col("id") * 1000).alias("v"))
     assert Io._value_reaching(far, "v", 50) < 200_000
     assert Io.first_rows(far.filter("v < 0"), ["v"], 5).count() == 0
+
+
+def _chain(spark, steps):
+    from tabulon.operators.sequences import stationary
+
+    df = spark.createDataFrame(steps, "state string, next string, p double")
+    return {r.state: round(r.pi, 6) for r in stationary(df).collect()}
+
+
+def test_stationary_of_odd_chains(spark):
+    assert _chain(spark, [("A", "B", 1.0), ("B", "A", 0.5), ("B", "C", 0.5), ("C", "B", 1.0)]) == {"A": 0.25, "B": 0.5, "C": 0.25}
+    assert _chain(spark, [("A", "B", 0.5), ("A", "A", 0.5)]) == {"A": 0.0, "B": 1.0}
+    assert _chain(spark, [("A", "B", 1.0), ("B", "B", 1.0)]) == {"A": 0.0, "B": 1.0}
+
+
+def test_probabilities_of_large_counts(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from tabulon.operators import stats
+
+    rows = [(3_000_000_000, 0), (5, 2), (40, 60), (0, 0), (100, 7)]
+    got = spark.createDataFrame(rows, "n long, k long").select(
+        "n", "k", stats.log_factorial(F.col("n")).alias("f"), stats.poisson_cdf(F.col("k"), 7.5).alias("c"), stats.poisson_cdf(F.col("n"), 7.5).alias("d")
+    ).collect()
+    for r in got:
+        assert math.isclose(r.f, math.lgamma(r.n + 1), rel_tol=1e-12, abs_tol=1e-9)
+        want = sum(math.exp(i * math.log(7.5) - 7.5 - math.lgamma(i + 1)) for i in range(min(r.k, 200) + 1))
+        assert math.isclose(r.c, want, abs_tol=1e-10)
+        assert r.n < 100 or math.isclose(r.d, 1.0, abs_tol=1e-10)
+
+
+def test_any_number_of_levels(spark):
+    from tabulon.operators import aggregate as A
+    from tabulon.operators import preprocess as P
+
+    df = spark.range(10_000).selectExpr("id % 10 AS k", "concat('v', id % 5000) AS c")
+    long = A.level_profile(df, "k", ["c"])
+    assert long.count() == 5000 and long.filter("n <> 2 or abs(rate - 0.002) > 1e-9").count() == 0
+    assert len(A.levels(df, ["c"])["c"]) == 5000
+    assert len(P.fit_one_hot(df, "c").kept) == 5000
