@@ -31,10 +31,15 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: one document of each group stays, the one with the smallest doc_id."""
+    """MinHash near-dedup: one document of each group stays, the one with the smallest doc_id. Of rows that repeat a
+    doc_id with the same text one stays; rows without a doc_id stay as they are."""
     docs = docs.select(*DOCUMENT)
-    gone = minhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id", "text"]).join(gone, "doc_id", "left_anti").select(*DOCUMENT)
+    near = minhash.near_duplicates(docs).filter("doc_id is not null")
+    marks = near.groupBy("doc_id").agg(F.bool_or(~F.col("kept")).alias("gone"), F.count("*").alias("rows"))
+    marks = Steps(spark, "near").write(marks.filter("gone or rows > 1"))
+    once = docs.join(marks, "doc_id", "left_anti")
+    again = docs.join(marks.filter("not gone").select("doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
+    return once.select(*DOCUMENT).union(again.select(*DOCUMENT))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
