@@ -20,42 +20,67 @@ REPEATS = 6
 MIN_LEFT = 0.2
 
 
+def _common_start(x: Column, y: Column) -> Column:
+    """Length of the common beginning (up to two million characters), by halving steps."""
+    most = F.least(F.length(x), F.length(y))
+    steps = F.array(*[F.lit(1 << k) for k in range(20, -1, -1)])
+    same = lambda n, s: (n + s <= most) & (F.substring(x, n + 1, s) == F.substring(y, n + 1, s))
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when(same(n, s), n + s).otherwise(n))
+
+
+def _without_common_start(pair: Column) -> Column:
+    """The two texts without what both begin with, reversed."""
+    rest = lambda text, n: F.reverse(F.substring(text, n + 1, F.length(text)))
+    cut = F.transform(F.array(_common_start(pair["x"], pair["y"])), lambda n: F.struct(rest(pair["x"], n).alias("x"), rest(pair["y"], n).alias("y")))
+    return F.element_at(cut, 1)
+
+
 def within_edits(x: Column, y: Column, edits: int) -> Column:
     """True if the texts are at most ``edits`` insertions, deletions and substitutions apart.
 
+    What both begin and end with is taken off first, which leaves the distance as it is; the rest is folded bit-parallel.
+    """
+    pair = F.array(F.struct(x.alias("x"), y.alias("y")))
+    for _ in range(2):  # the start, then the reversed end
+        pair = F.transform(pair, _without_common_start)
+    close = F.element_at(F.transform(pair, lambda p: _banded(p["x"], p["y"], edits)), 1)
+    return F.when(F.abs(F.length(y) - F.length(x)) > edits, False).otherwise(close)
+
+
+def _banded(x: Column, y: Column, edits: int) -> Column:
+    """``within_edits`` of two texts whose lengths differ by ``edits`` at most.
+
     Bit ``edits + d`` of level e says that the first i characters of x and the first i + d of y are at most e
     edits apart. A character of x moves all levels on at once: a match keeps a bit, the level below
     gives a substitution in place, a deletion from the right, an insertion from the left.
     """
-    band = 2 * edits + 1
-    every = (1 << band) - 1
-    right = F.array_remove(F.split(y, ""), "")  # an empty text splits into one empty string
-
-    def bits(level: int) -> int:  # before the first character only insertions are possible
-        return sum(1 << (edits + d) for d in range(level + 1))
-
+    every = (1 << (2 * edits + 1)) - 1
     names = [f"r{e}" for e in range(edits + 1)]
-    start = F.struct(F.lit(0).alias("i"), *[F.lit(bits(e)).alias(n) for e, n in enumerate(names)])
+    # before the first character only insertions are possible
+    start = F.struct(F.lit(0).alias("i"), *[F.lit(sum(1 << (edits + d) for d in range(e + 1))).alias(n) for e, n in enumerate(names)])
 
-    def step(state: Column, char: Column) -> Column:
-        match = F.lit(0)
+    def matches(state: Column, char: Column, right: Column) -> Column:
+        out = F.lit(0)
         for d in range(-edits, edits + 1):
-            match = match.bitwiseOR(F.when(F.get(right, state["i"] + d) == char, 1 << (edits + d)).otherwise(0))
-        return F.struct(state["i"].alias("i"), match.alias("m"), *[state[n].alias(n) for n in names])
+            out = out.bitwiseOR(F.when(F.get(right, state["i"] + d) == char, 1 << (edits + d)).otherwise(0))
+        return out
 
-    def advance(state: Column) -> Column:
-        levels = [state["r0"].bitwiseAND(state["m"])]
+    def advance(state: Column, match: Column) -> Column:
+        levels = [state["r0"].bitwiseAND(match)]
         for e in range(1, edits + 1):
-            low = state[f"r{e - 1}"]
-            levels.append(
-                state[f"r{e}"].bitwiseAND(state["m"]).bitwiseOR(low).bitwiseOR(F.shiftright(low, 1)).bitwiseOR(F.shiftleft(levels[-1], 1)).bitwiseAND(F.lit(every))
-            )
+            low, same = state[f"r{e - 1}"], state[f"r{e}"].bitwiseAND(match)
+            levels.append(same.bitwiseOR(low).bitwiseOR(F.shiftright(low, 1)).bitwiseOR(F.shiftleft(levels[-1], 1)).bitwiseAND(F.lit(every)))
         return F.struct((state["i"] + 1).alias("i"), *[v.alias(n) for v, n in zip(levels, names)])
 
-    one = lambda state, char: F.element_at(F.transform(F.array(step(state, char)), advance), 1)
-    end = F.aggregate(F.array_remove(F.split(x, ""), ""), start, one, lambda s: s[names[-1]])
-    shift = F.length(y) - F.length(x)
-    return F.when(F.abs(shift) > edits, False).otherwise(F.call_function("shiftright", end, shift + edits) % 2 == 1)
+    def fold(right: Column) -> Column:
+        def step(state: Column, char: Column) -> Column:
+            return F.element_at(F.transform(F.array(matches(state, char, right)), lambda m: advance(state, m)), 1)
+
+        return F.aggregate(F.array_remove(F.split(x, ""), ""), start, step, lambda s: s[names[-1]])
+
+    # bound to a name, so that y is split once; an empty text splits into one empty string
+    end = F.element_at(F.transform(F.array(F.array_remove(F.split(y, ""), "")), fold), 1)
+    return F.call_function("shiftright", end, F.length(y) - F.length(x) + edits) % 2 == 1
 
 
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
