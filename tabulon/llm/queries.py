@@ -12,13 +12,15 @@ import corpus_pipeline
 from . import chat, embeddings, lines, minhash, mixing, passages, pieces, pii, quality, spotsigs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: None of the operators has a form in plain SQL; tests/llm compares them with brute-force versions.
+#: SQL for the operators that have a form in it; tests/llm compares the others with brute-force versions.
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
         return fn
 
     return register
@@ -57,7 +59,17 @@ def _op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
-@query("op6_minhash_near_dedup")
+@query(
+    "op6_minhash_near_dedup",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+       s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM w),
+       n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s), x AS (SELECT doc_id, unnest(s) AS g FROM s),
+       p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+       e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 85 * (na.n + nb.n - k)),
+       way AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
+       r AS (SELECT doc_id AS id, doc_id AS c FROM n UNION SELECT way.y, r.c FROM r JOIN way ON way.x = r.id)
+       SELECT n.doc_id, n.n AS n_shingles, min(c) AS component_id, n.doc_id = min(c) AS kept FROM n JOIN r ON r.id = n.doc_id GROUP BY 1, 2""",
+)
 def _op6(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -70,7 +82,19 @@ def _op7(spark, sf_dir):
     return rows.select("doc_id", F.size("found").cast("long").alias("n_found"), F.transform("found", lambda f: f["kind"]).alias("kinds"), "text")
 
 
-@query("op8_chat_formatting")
+#: How often the control strings stand in a text; each gets two characters more, an escape character one.
+_MARKS = " + ".join(f"(length(text) - length(replace(text, '{mark}', ''))) // {len(mark)}" for mark in chat.CONTROL)
+
+
+@query(
+    "op8_chat_formatting",
+    f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        m AS (SELECT *, 2 * ({_MARKS}) + length(text) - length(replace(text, '{chat.ESCAPE}', '')) AS more FROM c)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum({sum(map(len, chat.MARKS))} + length(role) + length(text) + more) AS BIGINT) AS formatted_chars FROM m GROUP BY 1""",
+)
 def _op8(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
