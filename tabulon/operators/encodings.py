@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import durable
+
 KEY = "SK_ID_CURR"
 MIN_COUNT = 50
 
@@ -22,7 +24,8 @@ def fit_encoding(df: DataFrame, column: str, target: str, min_count: int = MIN_C
 
 def apply_encoding(df: DataFrame, column: str, encoding: DataFrame, default, name: str) -> DataFrame:
     """Unseen, rare and null categories get ``default`` (a column or a scalar subquery)."""
-    hit = encoding.select(F.col(column).alias("_cat"), F.col("te").alias("_te"))
+    # one row per category, written: the planner knows its size and moves the rows only if it is large
+    hit = durable(encoding.select(F.col(column).alias("_cat"), F.col("te").alias("_te")))
     joined = df.join(hit, F.col(column) == F.col("_cat"), "left").withColumn("_default", default)
     return joined.withColumn(name, F.coalesce("_te", "_default")).drop("_cat", "_te", "_default")
 
@@ -60,13 +63,15 @@ def out_of_fold(df: DataFrame, column: str, target: str, fold: str, name: str, m
 
     Sums per (category, fold) are enough: what the other folds say is the total less the own part.
     """
-    parts = df.filter(F.col(column).isNotNull()).groupBy(column, fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    parts = durable(df.filter(F.col(column).isNotNull()).groupBy(column, fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n")))
     totals = parts.groupBy(column).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
     others_s, others_n = F.col("_ts") - F.col("_s"), F.col("_tn") - F.col("_n")
-    encoding = parts.join(totals, column).select(
-        F.col(column).alias("_cat"), F.col(fold).alias("_fold"), F.when(others_n >= min_count, others_s / others_n).alias("_te")
+    encoding = durable(
+        parts.join(totals, column).select(
+            F.col(column).alias("_cat"), F.col(fold).alias("_fold"), F.when(others_n >= min_count, others_s / others_n).alias("_te")
+        )
     )
-    whole = df.groupBy(fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    whole = durable(df.groupBy(fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n")))
     everything = whole.agg(F.struct(F.sum("_s").alias("s"), F.sum("_n").alias("n")).alias("a")).scalar()
     rest = whole.withColumn("_a", everything).select(
         F.col(fold).alias("_wfold"), ((F.col("_a.s") - F.col("_s")) / F.nullif(F.col("_a.n") - F.col("_n"), F.lit(0))).alias("_rest")
@@ -80,7 +85,7 @@ def out_of_fold(df: DataFrame, column: str, target: str, fold: str, name: str, m
 def child_out_of_fold(child: DataFrame, column: str, base: DataFrame, target: str = "TARGET", fold: str = "fold", min_count: int = MIN_COUNT) -> DataFrame:
     """Out-of-fold encoding of child rows, summarised per applicant; applicants without child rows get the mean, the mean and 0."""
     prefix = f"TE_PREV_{column}"
-    rows = child.select(KEY, column).join(base.select(KEY, target, fold), KEY)
+    rows = durable(child.select(KEY, column).join(base.select(KEY, target, fold), KEY))
     encoded = out_of_fold(rows, column, target, fold, "_encoded", min_count)
     whole = rows.groupBy(fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
     everything = whole.agg(F.struct(F.sum("_s").alias("s"), F.sum("_n").alias("n")).alias("a")).scalar()

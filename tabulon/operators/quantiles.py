@@ -67,7 +67,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: li
 def with_quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: list[str] | None = None) -> DataFrame:
     """``df`` with the quantiles of its key on every row."""
     keys = list(keys or [])
-    quantiles = exact_quantiles(df, value, probs, keys)
+    # written, so that the planner knows how small it is and need not move the rows to it
+    quantiles = durable(exact_quantiles(df, value, probs, keys))
     if keys:
         right = quantiles.withColumnsRenamed({k: f"_q_{k}" for k in keys})
         same = [F.col(k).eqNullSafe(F.col(f"_q_{k}")) for k in keys]

@@ -6,6 +6,7 @@ from ..operators import stats as St
 from ..operators.aggregate import levels, most_frequent
 from ..operators.quantiles import exact_quantiles, with_quantiles
 from ..registry import query
+from ..sources.scratch import durable
 
 R = F.round
 
@@ -123,7 +124,7 @@ def spread(t):
 )
 def z_scores(t):
     x = F.col("o_totalprice")
-    m = t.orders.groupBy("o_orderpriority").agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"))
+    m = durable(t.orders.groupBy("o_orderpriority").agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")))
     return t.orders.join(m, "o_orderpriority").select("o_orderkey", R((x - F.col("m")) / F.nullif(F.col("s"), F.lit(0)), 8).alias("z"))
 
 
