@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     near = minhash.near_duplicates(docs).filter("doc_id is not null")
     marks = near.groupBy("doc_id").agg(F.bool_or(~F.col("kept")).alias("gone"), F.count("*").alias("rows"))
     marks = Steps(spark, "near").write(marks.filter("gone or rows > 1"))
-    once = docs.join(marks, "doc_id", "left_anti")
+    once = docs.join(marks.hint("merge"), "doc_id", "left_anti")
     again = docs.join(marks.filter("not gone").select("doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
     return once.select(*DOCUMENT).union(again.select(*DOCUMENT))
 
@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: every document as often as the mix takes it. Texts without words are never taken, so they go."""
     docs = docs.select(*DOCUMENT)
     copies = mixing.mix(docs).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    rows = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+    rows = docs.join(copies.hint("merge"), "doc_id").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     return rows.select(*DOCUMENT)
 
 

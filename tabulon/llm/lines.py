@@ -189,7 +189,8 @@ def dedup_lines(
     # the row travels as one struct, so that no column of it can clash
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     match = (rows["row.doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(rows["row.text"]) == gone["text_hash"])
-    rows = rows.join(gone, match, "left").select("row", "gone", F.split("row.text", "\n").alias("split"))
+    # documents with removed lines grow with the corpus, so they meet the texts by a shuffle at every size
+    rows = rows.join(gone.hint("merge"), match, "left").select("row", "gone", F.split("row.text", "\n").alias("split"))
     left = F.array_except(F.sequence(F.lit(0), F.size("split") - 1), F.col("gone"))
     clean = F.array_join(F.transform(left, lambda i: F.get("split", i)), "\n")
     hit = F.col("gone").isNotNull()

@@ -92,7 +92,9 @@ def near_duplicates(
     ranked = steps.write(ranked.filter("size(prefix) > 0"))
 
     # full sets of the candidates, and how many of its shingles each shares with any other of them
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("item"), "text").join(ranked.select("item"), "item")
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("item"), "text")
+    # the candidates grow with the corpus, so texts and candidates meet by a shuffle at every size
+    texts = texts.join(ranked.select("item").hint("merge"), "item")
     sets = shingle_sets(texts, width).join(items, "item").filter(F.size("shingles") == F.col("n_shingles")).dropDuplicates(["item"])
     sets = steps.write(sets)
     alone = sets.select("item", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.max("item").alias("item")).filter("n = 1")

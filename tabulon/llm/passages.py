@@ -140,7 +140,7 @@ def repeated_passages(
     live = steps.write(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
     met = steps.write(keyed.join(live, "key"))
     wanted = steps.write(met.groupBy("doc_id").agg(F.collect_set("pos").alias("wanted")))
-    sets = steps.write(paragraph_sets(docs.join(wanted, "doc_id"), reach, width))
+    sets = steps.write(paragraph_sets(docs.join(wanted.hint("merge"), "doc_id"), reach, width))
     steps.drop(live, wanted)
     place = F.struct("doc_id", "pos")
     spots = sets.select("doc_id", "pos", "n_words", "begin", "finish", "a", "b").distinct()
