@@ -94,8 +94,8 @@ def _key(i: int, length: Column, text: Column) -> Column:
     return F.xxhash64(F.lit(i), length, text)
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    n = F.length(line)
+def index_keys(line: Column, n: Column, edits: int) -> Column:
+    """Keys of the segments of a line of ``n`` characters. ``n`` is a column, so that it is counted once per line."""
     keys = []
     for i in range(edits + 1):
         start, size = _segment(n, i, edits + 1)
@@ -103,12 +103,11 @@ def index_keys(line: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def probe_keys(line: Column, edits: int) -> Column:
+def probe_keys(line: Column, n: Column, edits: int) -> Column:
     """Keys of the substrings that can equal segment i of a line ``less`` characters shorter.
 
     Left of the segment at most i edits can lie, right of it at most ``edits - i``; that leaves the shifts that keep both.
     """
-    n = F.length(line)
     keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
@@ -136,10 +135,10 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
     lines = _lines(docs, min_chars)
     place = F.struct("doc_id", "text_hash", "pos")
     table = lines.groupBy("a", "b").agg(F.min("line").alias("line"), F.count("*").alias("n"), F.min(place).alias("first"))
-    table = steps.write(table.withColumn("item", F.monotonically_increasing_id()))
+    table = steps.write(table.withColumns({"item": F.monotonically_increasing_id(), "size": F.length("line")}))
 
-    index = table.select(F.explode(index_keys(F.col("line"), edits)).alias("key")).distinct()
-    probes = table.select("item", F.explode(probe_keys(F.col("line"), edits)).alias("key"))
+    index = table.select(F.explode(index_keys(F.col("line"), F.col("size"), edits)).alias("key")).distinct()
+    probes = table.select("item", F.explode(probe_keys(F.col("line"), F.col("size"), edits)).alias("key"))
     met = steps.write(probes.join(index, "key").distinct())
     shared = met.groupBy("key").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).filter("lo < hi").select("key")
     shared = steps.write(met.join(shared, "key"))

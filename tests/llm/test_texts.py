@@ -146,7 +146,8 @@ def test_lines_probe_keys_are_complete(spark):
             else:
                 t[k] = rng.choice("ab")
         rows.append((s, "".join(t)))
-    got = spark.createDataFrame(rows, "x string, y string").select(F.arrays_overlap(lines.index_keys(F.col("x"), 2), lines.probe_keys(F.col("y"), 2)).alias("z"))
+    index, probes = lines.index_keys(F.col("x"), F.length("x"), 2), lines.probe_keys(F.col("y"), F.length("y"), 2)
+    got = spark.createDataFrame(rows, "x string, y string").select(F.arrays_overlap(index, probes).alias("z"))
     assert got.filter("not z").count() == 0
 
 
