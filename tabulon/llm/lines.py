@@ -143,7 +143,9 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
     shared = met.groupBy("key").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).filter("lo < hi").select("key")
     shared = steps.write(met.join(shared, "key"))
     steps.drop(met)
-    texts = shared.select("item").distinct().join(table.select("item", "line", F.col("n").alias("weight")), "item")
+    # the candidates grow with the corpus, so they meet the lines by a shuffle at every size
+    keys = shared.groupBy("item").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # as many as segments and probes
+    texts = table.select("item", "line", F.col("n").alias("weight")).join(keys.hint("merge"), "item")
     texts = steps.write(texts.withColumn("parity", _parity("line")))
     posts = shared.join(texts.select("item", "weight"), "item")
 
@@ -153,8 +155,11 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
         both = found.join(left, "a").join(right, "b").filter(F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 2 * edits)
         return both.filter(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    near = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= 2 * edits
-    links = bucket_links(posts, verify, steps, texts.select("item", "parity"), near)
+    # in the join itself: a pair counts under its first common key, then the cheap bound, then the distance
+    once = F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key")
+    near = once & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= 2 * edits)
+    near = near & within_edits(F.col("x.line"), F.col("y.line"), edits)
+    links = bucket_links(posts, verify, steps, texts.drop("weight"), near)
     group = steps.write(components(links, steps))
     steps.drop(shared, texts)
     rows = table.select("item", "a", "b", "n", "first")
