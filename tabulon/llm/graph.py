@@ -39,10 +39,10 @@ def components(links: DataFrame, steps: Steps) -> DataFrame:
     return edges.select(F.col("a").alias("item"), F.col("b").alias("component")).union(roots)
 
 
-def bucket_links(
+def bucket_components(
     posts: DataFrame, verify: Callable[[DataFrame], DataFrame], steps: Steps, known: DataFrame | None = None, also: Column | None = None
 ) -> DataFrame:
-    """Links (a, b), a < b, that connect exactly the items that verified pairs sharing a bucket connect.
+    """(item, component) of the items that verified pairs sharing a bucket connect, as ``components`` of all those pairs would give.
 
     ``posts``: key, item, weight, one row per bucket and item. ``verify`` takes pairs (a, b) and returns those that hold.
 
@@ -67,5 +67,9 @@ def bucket_links(
         match = match & also
     rest = x.join(y, match).select(F.col("x.item").alias("a"), F.col("y.item").alias("b")).distinct()
     more = steps.write(verify(rest))
-    steps.drop(hubs, met, label, left)
-    return links.union(more)
+    steps.drop(hubs, met, links, left)
+    if more.isEmpty():
+        return label
+    # what the first pairs connect is known: one link per item stands for it
+    known_links = label.select(F.col("item").alias("a"), F.col("component").alias("b"))
+    return steps.write(components(known_links.union(more), steps))

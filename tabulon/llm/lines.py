@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import bucket_links, components
+from .graph import bucket_components
 from .steps import Steps
 
 EDITS = 2
@@ -159,8 +159,7 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
     once = F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key")
     near = once & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= 2 * edits)
     near = near & within_edits(F.col("x.line"), F.col("y.line"), edits)
-    links = bucket_links(posts, verify, steps, texts.drop("weight"), near)
-    group = steps.write(components(links, steps))
+    group = bucket_components(posts, verify, steps, texts.drop("weight"), near)
     steps.drop(shared, texts)
     rows = table.select("item", "a", "b", "n", "first")
     linked = rows.join(group, "item")

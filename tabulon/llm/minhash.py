@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import bucket_links, components
+from .graph import bucket_components
 from .steps import Steps
 from .words import text_shingles
 
@@ -116,8 +116,7 @@ def near_duplicates(
     fits = enough(F.least("x.shared", "y.shared"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent) & (
         F.element_at(F.array_intersect("x.prefix", "y.prefix"), 1) == F.col("x.key")
     )
-    links = bucket_links(posts, verify, steps, known.drop("weight"), fits)
-    group = steps.write(components(links, steps).select(F.col("item"), F.col("component")))
+    group = bucket_components(posts, verify, steps, known.drop("weight"), fits)
     steps.drop(ranked, sets, known, items)
 
     known = heads.join(group, "item", "left").select("set_a", "set_b", F.coalesce("component", "item").alias("component"))

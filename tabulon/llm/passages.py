@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .graph import bucket_links, components
+from .graph import bucket_components
 from .steps import Steps
 from .words import PIECE, Shingles, column_bytes, distinct, mix, ranges, shingle_hashes, word_hashes
 
@@ -159,7 +159,7 @@ def repeated_passages(
         return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
     fits = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
-    group = steps.write(components(bucket_links(posts, verify, steps, items.select("item", F.size("shingles").alias("size")), fits), steps))
+    group = bucket_components(posts, verify, steps, items.select("item", F.size("shingles").alias("size")), fits)
     named = items.select("item", "first").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     origin = named.groupBy("component").agg(F.min("first").alias("first"))
     origin = steps.write(named.select("item", "component").join(origin, "component").select("item", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.pos").alias("kept_pos")))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .graph import bucket_links, components
+from .graph import bucket_components
 from .steps import Steps, partitions
 
 CHAIN = 2
@@ -153,8 +153,7 @@ def classes(prints: DataFrame, steps: Steps, least: float = LIKENESS) -> DataFra
     # no more can be common than either set has in common with any other
     most = F.least("x.shared", "y.shared")
     fits = (most >= least * (F.col("x.n") + F.col("y.n") - most)) & (F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key"))
-    links = bucket_links(posts, verify, steps, known, fits)
-    group = components(links, steps)
+    group = bucket_components(posts, verify, steps, known, fits)
     placed = items.select("a", "b", "item", "class_id").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     lowest = placed.groupBy("component").agg(F.min("class_id").alias("class_id"))
     return steps.write(placed.drop("class_id").join(lowest, "component").select("a", "b", "class_id"))
