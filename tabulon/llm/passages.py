@@ -158,8 +158,10 @@ def repeated_passages(
         both = found.join(left, "a").join(right, "b")
         return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
-    fits = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
-    group = bucket_components(posts, verify, steps, items.select("item", F.size("shingles").alias("size")), fits)
+    # in the join itself: only pairs that hold leave it
+    both = F.size(F.array_intersect("x.shingles", "y.shingles"))
+    fits = (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")) & (100 * both >= percent * (F.col("x.size") + F.col("y.size") - both))
+    group = bucket_components(posts, verify, steps, items.select("item", "shingles", F.size("shingles").alias("size")), fits)
     named = items.select("item", "first").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     origin = named.groupBy("component").agg(F.min("first").alias("first"))
     origin = steps.write(named.select("item", "component").join(origin, "component").select("item", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.pos").alias("kept_pos")))

@@ -153,7 +153,9 @@ def classes(prints: DataFrame, steps: Steps, least: float = LIKENESS) -> DataFra
     # no more can be common than either set has in common with any other
     most = F.least("x.shared", "y.shared")
     fits = (most >= least * (F.col("x.n") + F.col("y.n") - most)) & (F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key"))
-    group = bucket_components(posts, verify, steps, known, fits)
+    # then the sets themselves, in the join: only pairs that hold leave it
+    fits = fits & (likeness(F.col("x.own"), F.col("y.own")) >= least)
+    group = bucket_components(posts, verify, steps, known.join(items.select("item", "own"), "item"), fits)
     placed = items.select("a", "b", "item", "class_id").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     lowest = placed.groupBy("component").agg(F.min("class_id").alias("class_id"))
     return steps.write(placed.drop("class_id").join(lowest, "component").select("a", "b", "class_id"))
