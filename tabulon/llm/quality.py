@@ -67,6 +67,8 @@ def passages(data: np.ndarray, offsets: np.ndarray, slab: int = 4096):
     owner = bounds[:-1][text] + inner
     pair = words.copy()
     pair[1:] = mix(words[1:] * np.uint64(3) + words[:-1])
+    opens = per_text[:-1][counts > 0]  # the word before belongs to another text
+    pair[opens] = words[opens]
     seen = _repeats(pair, text)
     again = _repeats(words, owner)
     same = np.zeros(len(words), np.float32)
@@ -84,13 +86,17 @@ def passages(data: np.ndarray, offsets: np.ndarray, slab: int = 4096):
                 total = np.bincount(own, minlength=n).astype(np.float32)
                 piece = data[start[a] : end[b - 1]]
                 first = np.concatenate([[True], own[1:] != own[:-1]])
-                place = np.repeat(own[first], np.diff(np.append(start[a:b][first], end[b - 1])))
+                spans = np.diff(np.append(start[a:b][first], end[b - 1]))
+                place = np.repeat(own[first], spans)
                 low = LOWER[piece].astype(np.uint32)
                 code = np.zeros(len(piece), np.int64)
+                # a passage ends with its last word: what follows up to the next one, or stands in another text, does not count
+                stop = np.repeat(end[a:b][np.concatenate([first[1:], [True]])] - start[a], spans)
+                inside, at = np.arange(len(piece)) < stop, np.arange(len(piece)) + 2 < stop
                 if len(piece) > 2:
                     code[:-2] = (low[:-2] * np.uint32(2654435761) + low[1:-1] * np.uint32(2246822519) + low[2:] * np.uint32(3266489917)) >> np.uint32(24)
-                grams = np.bincount(place * TRIGRAMS + code, minlength=n * TRIGRAMS).reshape(n, TRIGRAMS)
-                kinds = np.bincount(place * 8 + _CLASSES[piece], minlength=n * 8).reshape(n, 8)
+                grams = np.bincount((place * TRIGRAMS + code)[at], minlength=n * TRIGRAMS).reshape(n, TRIGRAMS)
+                kinds = np.bincount((place * 8 + _CLASSES[piece])[inside], minlength=n * 8).reshape(n, 8)
                 size = np.maximum(1, kinds.sum(1, keepdims=True)).astype(np.float32)
                 out[:, :TRIGRAMS] = np.sqrt(grams / size)
                 out[:, TRIGRAMS : TRIGRAMS + 8] = np.sqrt(kinds / size)
@@ -230,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, m
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs`` (with text) and score (0 to 1), predicted (1 if score >= threshold).
+    """All columns of ``docs`` (with text) and score (0 to 1, six digits), predicted (1 if score >= threshold).
 
     Null and empty texts and texts without words are scored as one empty passage. Without a model every score is 0.5.
     Existing columns of these two names are replaced.
@@ -247,7 +253,8 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
                 bounds, blocks = passages(data[base : offsets[hi]], offsets[lo : hi + 1] - base)
                 pairs = [model.encode(block) for block in blocks]
                 out[lo:hi] = model.scores(np.concatenate([h for h, _ in pairs]), np.concatenate([e for _, e in pairs]), bounds)
-            grades = [pa.array(out.astype(np.float64)), pa.array((out >= threshold).astype(np.int32))]
+            out = out.round(6)  # the last digits of a product depend on what else is in the batch
+            grades = [pa.array(out), pa.array((out >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *grades], names=[*batch.schema.names, "score", "predicted"])
 
     kind = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
