@@ -16,24 +16,37 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+#: Area, exchange and line of three, three and four digits; with a country code the separators may be left out.
+_AREA = r"\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}"
+#: A national number with its trunk 0: 9 to 11 digits in groups, the first group set off. No d-m-y date, no 3-2-4 number, no part of a longer list.
+_TRUNK = (
+    r"(?<![\d+])(?<!\d[ .,/-])(?!\d\d[ .-]\d\d[ .-]\d{4}(?!\d))(?!\d{3}-\d\d-\d{4}(?!\d))(?=\(?(?:\d\)?[ ./-]?){8,10}\d(?![ .-]?\d))"
+    r"\(?0[1-9]\d{0,3}(?:\)[ -]?|[ -]|(?<=\d{3})/)(?:\d{5,8}|\d{2,8}(?:[ -]\d{2,8}){1,3})(?!\d)|(?<![\d+])(?<!\d[ .,/-])0[1-9](?:\.\d\d){4}(?!\.?\d)"
+)
 #: Kinds in the order in which they are tried at a place of the text.
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])",
-    "secret": r"(?<!\w)(?:password|passwd|pwd|token|secret|api_key|apikey|access_key)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{8,128}(?![A-Za-z0-9_/+-])\"?",
+    "secret": r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{8,128}(?![A-Za-z0-9_/+-])\"?",
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)",
-    "date": r"(?<![\d./-])(?:(?:1[89]|2[01])\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])\.(?:0[1-9]|1[0-2])\.(?:1[89]|2[01])\d\d|(?:0[1-9]|1[0-2])/(?:0[1-9]|[12]\d|3[01])/(?:1[89]|2[01])\d\d)(?![\d/-])",
-    "social": r"(?<![\d-])(?!666)[1-8]\d\d-[1-9]\d-[1-9]\d{3}(?![\d-])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?\(?[2-9]\d{2}\)?[ .-]?[2-9]\d{2}[ .-]?\d{4}(?!\d)|(?<![\d+(])\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[ .-]\d{4}(?!\d)",
+    "date": r"(?<![\d./-])(?:(?:1[89]|2[01])\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])\.(?:0[1-9]|1[0-2])\.(?:1[89]|2[01])\d\d|(?:(?:0[1-9]|1[0-2])/(?:0[1-9]|[12]\d|3[01])|(?:1[3-9]|2\d|3[01])/(?:0[1-9]|1[0-2]))/(?:1[89]|2[01])\d\d)(?![\d/-])",
+    "social": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
+    "phone": rf"(?<![\d+])\+\d{{1,3}}[ .-]?{_AREA}(?!\d)|(?<![\w+])\+(?!\d+\.\d+(?!\d|[ .()-]{{1,2}}\d))[1-9](?:[ .()-]{{0,2}}\d){{6,14}}(?!\d)"
+    rf"|(?<![\d+])(?:\(\d{{3}}\)[ .-]?|\(?\d{{3}}\)?[ .-])\d{{3}}[ .-]\d{{4}}(?!\d)|{_TRUNK}",
     "card": r"(?<![\d+-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A place where one of the patterns can begin to match has one of these characters.
-HINT = r"[0-9@=:]"
+HINT = r"[0-9@=:]|A[KS]IA"
 
 DAYS = 146097  # of the 400 years from 1800, = 27 * 5411
 DATE_MODULI = (27, 5411)
 FIRST_DAY = "1800-01-01"
+#: Those of the days after the 12th of a month: 13/01 to 31/12 can only be day first. = 9 * 9833
+LATE_DAYS = 88497
+LATE_MODULI = (9, 9833)
+#: Area (001 to 899 without 666), group (01 to 99) and serial (0001 to 9999) of a social security number.
+SOCIAL_MODULI = (898, 99, 9999)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -80,15 +93,16 @@ def _digits(value: Column) -> Column:
 
 def _by_characters(value: Column, key: str, keep_head: Column, keep_tail: Column, narrow: Column) -> Column:
     """Permutes digits and letters in their classes; the first ``keep_head`` and last ``keep_tail`` characters stay.
-    At the positions in ``narrow`` the digit is one of 2 to 9 (or 1 to 9 where it is negative) and stays so."""
+    At the positions in ``narrow`` a digit of 2 to 9 stays one, and so does a 0 or 1; at those in it as -1 - position, one of 1 to 9."""
     n = F.length(value)
 
     def cell(c: Column, i: Column) -> Column:
         fixed = (i < keep_head) | (i >= n - keep_tail)
-        base = F.when(F.array_contains(narrow, i), 50).when(F.array_contains(narrow, -1 - i), 49).when(c.rlike("^[0-9]$"), 48)
+        low = F.array_contains(narrow, i) & c.rlike("^[01]$")
+        base = F.when(F.array_contains(narrow, i) & ~low, 50).when(F.array_contains(narrow, -1 - i), 49).when(c.rlike("^[0-9]$"), 48)
         base = base.when(c.rlike("^[a-z]$"), 97).when(c.rlike("^[A-Z]$"), 65)
         base = F.when(fixed, None).otherwise(base)
-        size = F.when(base == 50, 8).when(base == 49, 9).when(base == 48, 10).otherwise(26)
+        size = F.when(low, 2).when(base == 50, 8).when(base == 49, 9).when(base == 48, 10).otherwise(26)
         return F.struct(
             c.alias("c"), base.alias("base"), F.when(base.isNull(), 1).otherwise(size).cast("long").alias("m"), F.when(base.isNull(), 0).otherwise(F.ascii(c) - base).cast("long").alias("d")
         )
@@ -116,27 +130,77 @@ def _ip(value: Column, key: str) -> Column:
     return F.array_join(feistel(octets, F.array(*[F.lit(256).cast("long")] * 4), f"{key}|ip"), ".")
 
 
+def _social(value: Column, key: str) -> Column:
+    area, group, serial = [F.get(F.split(value, "-"), F.lit(i)).cast("long") for i in range(3)]
+    parts = F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1)
+
+    def spell(p: Column) -> Column:
+        area = F.get(p, F.lit(0)) + F.when(F.get(p, F.lit(0)) >= 665, 2).otherwise(1)
+        return F.concat_ws("-", *[F.lpad(n.cast("string"), w, "0") for n, w in ((area, 3), (F.get(p, F.lit(1)) + 1, 2), (F.get(p, F.lit(2)) + 1, 4))])
+
+    return _let(feistel(parts, F.array(*[F.lit(m).cast("long") for m in SOCIAL_MODULI]), f"{key}|social"), spell)
+
+
+def _moved(number: Column, moduli: tuple[int, int], key: str) -> Column:
+    """The number's place under a permutation of 0 to the product of the moduli."""
+    size = F.lit(moduli[1]).cast("long")
+    parts = F.array(F.floor(number / size).cast("long"), F.pmod(number, size))
+    moved = feistel(parts, F.array(*[F.lit(m).cast("long") for m in moduli]), key)
+    return _let(moved, lambda p: F.get(p, F.lit(0)) * size + F.get(p, F.lit(1)))
+
+
 def _moved_day(form: str, key: str) -> Callable[[Column], Column]:
-    size = F.lit(DATE_MODULI[1]).cast("long")
+    first = F.lit(FIRST_DAY).cast("date")
 
     def move(day: Column) -> Column:
-        parts = F.array(F.floor(day / size).cast("long"), F.pmod(day, size))
-        moved = feistel(parts, F.array(*[F.lit(m).cast("long") for m in DATE_MODULI]), f"{key}|date")
-        to = _let(moved, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (F.get(p, F.lit(0)) * size + F.get(p, F.lit(1))).cast("int")))
+        to = F.date_add(first, _moved(day, DATE_MODULI, f"{key}|date").cast("int"))
         return F.when(day.between(0, DAYS - 1), F.date_format(to, form))
 
     return move
 
 
+def _moved_late_day(form: str, key: str) -> Callable[[Column], Column]:
+    """As ``_moved_day`` among the days after the 12th, so the day can be told from the month before and after."""
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def before(month: Column) -> Column:
+        """Days after the 12th in the months before ``month``, counted from the first one."""
+        return F.datediff(F.add_months(first, month), first) - 12 * month
+
+    def day_of(at: Column) -> Column:
+        guess = F.floor(at * 4800 / LATE_DAYS).cast("int")  # off by one month at most
+        month = F.when(before(guess + 1) <= at, guess + 1).when(before(guess) <= at, guess).otherwise(guess - 1)
+        return _let(month, lambda m: F.date_add(first, (at + 12 * (m + 1)).cast("int")))
+
+    def move(day: Column) -> Column:
+        date = F.date_add(first, day.cast("int"))
+        month = (F.year(date) - 1800) * 12 + F.month(date) - 1
+        to = _let(_moved(day - 12 * (month + 1), LATE_MODULI, f"{key}|date"), day_of)
+        return F.when(day.between(0, DAYS - 1) & (F.dayofmonth(date) > 12), F.date_format(to, form))
+
+    return move
+
+
 def _date(value: Column, key: str) -> Column:
-    """A calendar date of the years 1800 to 2199, in the notation it has."""
-    forms = {"-": "yyyy-MM-dd", ".": "dd.MM.yyyy", "/": "MM/dd/yyyy"}
-    out = None
-    for mark, form in forms.items():
+    """A calendar date of the years 1800 to 2199, in the notation it has. With slashes the month is first where it can be."""
+    forms = (("-", "yyyy-MM-dd", _moved_day), (".", "dd.MM.yyyy", _moved_day), ("/", "MM/dd/yyyy", _moved_day), ("/", "dd/MM/yyyy", _moved_late_day))
+    written = []
+    for mark, form, moved in forms:
         day = F.datediff(F.call_function("try_to_date", value, F.lit(form)), F.lit(FIRST_DAY).cast("date")).cast("long")
-        written = F.when(F.instr(value, mark) > 0, _let(day, _moved_day(form, key)))
-        out = written if out is None else F.coalesce(out, written)
-    return out
+        written.append(F.when(F.instr(value, mark) > 0, _let(day, moved(form, key))))
+    return F.coalesce(*written)
+
+
+def _phone(value: Column, key: str) -> Column:
+    """Country code and trunk 0 stay, the other digits are permuted."""
+    none = F.array().cast("array<int>")
+    code = F.length(F.regexp_extract(value, rf"^(\+\d{{1,3}}?[ .-]?)(?={_AREA}$)", 1))
+    other = F.length(F.regexp_extract(value, r"^(\+(?:\d{1,3}(?=[ .()-])|[17]|\d\d))", 1))
+    trunk = F.length(F.regexp_extract(value, r"^(\(?0)", 1))
+    area = value.rlike(rf"^(?:\+\d{{1,3}}[ .-]?)?{_AREA}$")
+    head = F.when(area, code).when(value.startswith("+"), other).otherwise(trunk)
+    narrow = F.when(area, _first_digits(value, code)).when(value.startswith("+"), none).otherwise(F.array(-1 - trunk))
+    return _by_characters(value, f"{key}|phone", head, F.lit(0), narrow)
 
 
 def _first_digits(value: Column, skip: Column) -> Column:
@@ -157,8 +221,7 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a found value; null if it does not pass its kind's validation."""
     none = F.array().cast("array<int>")
-    code = F.length(F.regexp_extract(value, r"^(\+\d{1,3}?[ .-]?)(?=\(?[2-9]\d{2}\)?[ .-]?[2-9]\d{2}[ .-]?\d{4}$)", 1))
-    head = F.length(F.regexp_extract(value, r"^(\w+\s?[=:]\s?\"?)", 1))
+    head = F.length(F.regexp_extract(value, r"^([\w-]+?\s?[=:]\s?\"?)", 1))
     tail = F.length(F.regexp_extract(value, r"(\.[A-Za-z]+)$", 1))
     zero = F.lit(0)
     kind = kind_of(value)
@@ -168,8 +231,8 @@ def pseudonym(value: Column, key: str) -> Column:
         .when(kind == "access_key", _by_characters(value, f"{key}|access_key", F.lit(4), zero, none))
         .when(kind == "ip", _ip(value, key))
         .when(kind == "date", _date(value, key))
-        .when(kind == "social", _by_characters(value, f"{key}|social", zero, zero, F.array(F.lit(-1), F.lit(-5), F.lit(-8))))
-        .when(kind == "phone", _by_characters(value, f"{key}|phone", code, zero, _first_digits(value, code)))
+        .when(kind == "social", _social(value, key))
+        .when(kind == "phone", _phone(value, key))
         .when(kind == "card", _card(value, key))
     )
 
