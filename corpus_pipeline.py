@@ -10,6 +10,8 @@ from tabulon.llm.steps import Steps
 
 #: The first four stages return these columns.
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Similarity in percent from which documents are near copies.
+NEAR = 80
 
 
 def _documents(rows: DataFrame) -> DataFrame:
@@ -31,10 +33,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: one document of each group stays, the one with the smallest doc_id. Of rows that repeat a
+    """MinHash near-dedup at a similarity of 0.8: one document of each group stays, the one with the smallest doc_id. Of rows that repeat a
     doc_id with the same text one stays; rows without a doc_id stay as they are."""
     docs = docs.select(*DOCUMENT)
-    near = minhash.near_duplicates(docs).filter("doc_id is not null")
+    near = minhash.near_duplicates(docs, percent=NEAR).filter("doc_id is not null")
     marks = near.groupBy("doc_id").agg(F.bool_or(~F.col("kept")).alias("gone"), F.count("*").alias("rows"))
     marks = Steps(spark, "near").write(marks.filter("gone or rows > 1"))
     once = docs.join(marks.hint("merge"), "doc_id", "left_anti")

@@ -2,8 +2,8 @@
 
 Every distinct shingle set gets a signature of ``COORDINATES`` minima and is posted under its
 (coordinate, value) pairs. Two sets whose Jaccard similarity is at the threshold agree in about that
-share of the coordinates, so they agree in ``MATCHES`` of them but for a chance below one in a million.
-Sets with ``MATCHES`` agreements share one of their ``COORDINATES - MATCHES + 1`` rarest pairs, whatever
+share of the coordinates, so they agree in ``least_matches`` of them but for a chance below one in a million.
+Sets with so many agreements share one of their ``COORDINATES - matches + 1`` rarest pairs, whatever
 they are (prefix merging); the frequent pairs beyond that prefix are never joined (skip merging), they
 only count in the comparison of the whole signatures. Pairs with enough agreements are confirmed on
 the full sets.
@@ -11,6 +11,8 @@ the full sets.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,8 +24,19 @@ from .words import text_shingles
 
 WIDTH = 5
 COORDINATES = 64
-MATCHES = 40
 PERCENT = 85
+#: Chance at most that a pair at the threshold has too few agreements.
+LOSS = 1e-6
+
+
+def least_matches(percent: int, coordinates: int) -> int:
+    """The agreements that a pair at the threshold has but for a chance below ``LOSS``."""
+    p, fewer = percent / 100, 0.0
+    for m in range(coordinates):
+        fewer += math.comb(coordinates, m) * p**m * (1 - p) ** (coordinates - m)
+        if fewer >= LOSS:
+            return max(1, m)
+    return coordinates
 
 
 def signatures(docs: DataFrame, coordinates: int = COORDINATES, width: int = WIDTH) -> DataFrame:
@@ -66,7 +79,7 @@ def enough(shared, left, right, percent: int):
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, width: int = WIDTH
+    docs: DataFrame, percent: int = PERCENT, coordinates: int = COORDINATES, matches: int | None = None, width: int = WIDTH
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text, anything else).
 
@@ -75,7 +88,9 @@ def near_duplicates(
     empty set and link with nothing. Equal sets always share a component. A null doc_id takes part in
     no link: its component is null and it is kept. Rows that repeat a doc_id with the same text get
     equal results. ``component_id`` is the smallest doc_id reachable over links.
+    ``matches`` agreements are asked of a pair, by default ``least_matches``.
     """
+    matches = matches or least_matches(percent, coordinates)
     steps = Steps(docs.sparkSession, "near")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = steps.write(signatures(docs, coordinates, width))

@@ -8,11 +8,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from helpers import AWKWARD, LONG, Groups, awkward, edit_distance, empty, words
+from helpers import AWKWARD, LONG, Groups, awkward, edit_distance, empty, jaccard, shingles, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabulon.llm import chat, lines, mixing, pieces, pii, quality
+from tabulon.llm import chat, lines, minhash, mixing, pieces, pii, quality
 from tabulon.llm.steps import Steps
 
 SF = "/root/testdata/sf0.001"
@@ -407,6 +407,21 @@ def test_pipeline(spark):
     assert sorted(map(str, rows.select("doc_id", "n_pieces").collect())) == sorted(map(str, last.select("doc_id", "n_pieces").collect()))
 
 
+def test_pipeline_near_pairs(spark):
+    """Pairs from 0.80 to below 0.85 go too, those below stay: 90 runs in common, 9 to 14 of the other text only."""
+    rng, rows, want = random.Random(5), [], set()
+    for i in range(40):
+        left = [f"w{i}x{k}" for k in range(104)]
+        right = left[:94] + [f"v{i}x{k}" for k in range(rng.choice([9, 10, 11, 14]))]
+        rows += [(2 * i, " ".join(left), "en", "a", 0), (2 * i + 1, " ".join(right), "en", "a", 0)]
+        a, b = (shingles(r[1]) for r in rows[-2:])
+        want |= {2 * i} if 100 * len(a & b) >= 80 * len(a | b) else {2 * i, 2 * i + 1}
+        assert jaccard(a, b) < 0.85
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()} == want and 40 < len(want) < 80
+    assert minhash.least_matches(80, 64) == 34 and minhash.least_matches(85, 64) >= 38
+
+
 def test_pipeline_awkward(spark):
     docs = awkward(spark)
     for _, stage in corpus_pipeline.STAGES[1:]:
