@@ -45,10 +45,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: every document as often as the mix takes it. Texts without words are never taken, so they go."""
-    docs = docs.select(*DOCUMENT)
-    copies = mixing.mix(docs).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    rows = docs.join(copies.hint("merge"), "doc_id").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+    """Mixing: every row as often as the mix takes it, also rows without a doc_id and rows that repeat one. Texts
+    without words are never taken, so they go."""
+    # the rows are numbered in a written table, so a number names the same row wherever it is read
+    docs = Steps(spark, "mixed").write(docs.select(*DOCUMENT).withColumn("row", F.monotonically_increasing_id()))
+    copies = mixing.mix(docs, keep=("row",)).filter("copies > 0").select("row", "copies")
+    rows = docs.join(copies.hint("merge"), "row").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     return rows.select(*DOCUMENT)
 
 

@@ -110,16 +110,17 @@ def _whole_copies(cap: int):
     return fold
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs`` (doc_id, source, text).
 
     ``size`` counts words, null and empty texts have 0 and are never taken. Sources take the weights in
     turn by code point order, a null source is one source and comes last. ``taken`` is copies * size and at
     most ``cap`` times the size. Rows that repeat a doc_id are documents of their own. An empty table gives an empty result.
+    The columns in ``keep`` travel with their row and come last; they must not be named like one of these.
     """
     steps = Steps(docs.sparkSession, "mix")
-    sized = docs.select("doc_id", "source", word_count("text").alias("size"))
-    sized = steps.write(sized.withColumn("rank", F.xxhash64("doc_id", "source", "size")))
+    rank = F.xxhash64("doc_id", "source", "text")  # rows without a doc_id differ by their text
+    sized = steps.write(docs.select("doc_id", "source", word_count("text").alias("size"), rank.alias("rank"), *keep))
     name = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
     by_size = steps.write(sized.groupBy("source", "size").agg(F.count("*").alias("docs")))
     sources = by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
@@ -145,5 +146,5 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
     more = chosen.withColumn("at", F.row_number().over(group)).join(sub, ["number", "size", "part"])
     more = more.withColumn("n", F.expr("copies div docs") + F.when(F.col("at") <= F.col("quota"), 1).otherwise(0))
     same = rows.filter("copies is null or copies % docs = 0").withColumn("n", F.coalesce(F.expr("copies div docs"), F.lit(0)))
-    columns = ["doc_id", "source", "size", "source_size", "target", F.col("n").cast("long").alias("copies"), (F.col("n") * F.col("size")).cast("long").alias("taken")]
+    columns = ["doc_id", "source", "size", "source_size", "target", F.col("n").cast("long").alias("copies"), (F.col("n") * F.col("size")).cast("long").alias("taken"), *keep]
     return same.select(*columns).union(more.select(*columns))

@@ -422,6 +422,26 @@ def test_pipeline_near_pairs(spark):
     assert minhash.least_matches(80, 64) == 34 and minhash.least_matches(85, 64) >= 38
 
 
+def test_pipeline_mixing_keeps_rows(spark):
+    """Rows without a doc_id are taken as the mix counts them, and rows that repeat one as often as each is taken."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, i, i % 7]), f"text {i} " + "w " * rng.randint(1, 30), "en", rng.choice("abc"), 0) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix_sources(spark, frame, SF).collect()
+    got, want, size = Counter(), {}, Counter()
+    for r in out:
+        got[r["source"]] += len(words(r["text"]))
+    for _, t, _, s, _ in rows:
+        size[s] += len(words(t))
+    want = _targets(dict(size))
+    assert all(abs(got[s] - want[s]) <= 40 for s in want) and set(Counter(r["text"] for r in out).values()) <= {1, 2, 3}
+    mixed = mixing.mix(frame).groupBy("doc_id").agg(F.sum("copies").alias("n")).filter("n > 0").collect()
+    assert {r["doc_id"]: r["n"] for r in mixed} == Counter(r["doc_id"] for r in out) and None in {r["doc_id"] for r in out}
+    again = corpus_pipeline.mix_sources(spark, frame.repartition(5), SF).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+    assert any(r["doc_id"] is None for r in corpus_pipeline.mix_sources(spark, awkward(spark), SF).collect())
+
+
 def test_pipeline_awkward(spark):
     docs = awkward(spark)
     for _, stage in corpus_pipeline.STAGES[1:]:
