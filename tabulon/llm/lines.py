@@ -123,22 +123,25 @@ def _parity(line: str) -> Column:
     return F.expr(f"aggregate(split({line}, ''), 0L, (s, c) -> s ^ shiftleft(1L, cast(pmod(hash(c), 64) as int)))")
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, text_hash, pos, line, a, b): the lines that take part; a and b are two hashes of the line."""
+def _lines(docs: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
+    """(doc_id, text_hash, pos, line, a, b): the lines that take part; a and b are two hashes of the line. With ``short``
+    these are also the lines under ``min_chars`` characters, but not the blank ones."""
     rows = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return rows.filter(F.length("line") >= min_chars).select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
+    return rows.filter((F.length("line") >= min_chars) | F.lit(short) & F.col("line").rlike(r"\S")).select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
 
 
-def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """(a, b, class, class_size, first) per distinct line: its class under links of at most ``edits`` edits, how often
-    lines of the class occur, and the first place (doc_id, text_hash, pos) among them."""
-    lines = _lines(docs, min_chars)
+    lines of the class occur, and the first place (doc_id, text_hash, pos) among them. Lines under ``min_chars``
+    characters, with ``short``, have classes of equal lines."""
+    lines = _lines(docs, min_chars, short)
     place = F.struct("doc_id", "text_hash", "pos")
     table = lines.groupBy("a", "b").agg(F.min("line").alias("line"), F.count("*").alias("n"), F.min(place).alias("first"))
     table = steps.write(table.withColumns({"item": F.monotonically_increasing_id(), "size": F.length("line")}))
 
-    index = table.select(F.explode(index_keys(F.col("line"), F.col("size"), edits)).alias("key")).distinct()
-    probes = table.select("item", F.explode(probe_keys(F.col("line"), F.col("size"), edits)).alias("key"))
+    long = table.filter(F.col("size") >= min_chars)
+    index = long.select(F.explode(index_keys(F.col("line"), F.col("size"), edits)).alias("key")).distinct()
+    probes = long.select("item", F.explode(probe_keys(F.col("line"), F.col("size"), edits)).alias("key"))
     met = steps.write(probes.join(index, "key").distinct())
     shared = met.groupBy("key").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).filter("lo < hi").select("key")
     shared = steps.write(met.join(shared, "key"))
@@ -170,33 +173,37 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
 
 
 def dedup_lines(
-    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, repeats: int = REPEATS, min_left: float = MIN_LEFT
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, repeats: int = REPEATS, min_left: float = MIN_LEFT, short: bool = False
 ) -> DataFrame:
-    """All columns of ``docs`` with ``text`` cleaned, and n_lines, n_removed, kept.
+    """All columns of ``docs`` with ``text`` cleaned, and n_lines, n_removed, kept, classes.
 
     Lines end at ``\\n``. Lines of ``min_chars`` characters or more fall into classes of equal and near-equal
     lines (at most ``edits`` edits, linked over others too). A class that occurs more than ``repeats`` times
-    keeps its first occurrence, by doc_id, then place in the text; the others are removed. ``kept`` is false
-    for a document that has lost so much that less than ``min_left`` of its characters are left.
+    keeps its first occurrence, by doc_id, then place in the text; the others are removed. With ``short`` shorter lines
+    take part too, in classes of equal lines; blank ones never do. ``kept`` is false for a document that has lost
+    so much that nothing or less than ``min_left`` of its characters is left. ``classes`` has the members of such
+    classes among the lines, (pos, class_size, first_doc_id, first_pos) by pos; positions count from 0.
     Rows with a null doc_id or null text pass unchanged. Rows that repeat a doc_id with the same text count as
     one document for places, each for occurrences. Columns named like the new ones are replaced.
     """
     steps = Steps(docs.sparkSession, "lines")
-    docs = docs.drop("n_lines", "n_removed", "kept")
+    docs = docs.drop("n_lines", "n_removed", "kept", "classes")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    often = line_classes(slim, steps, edits, min_chars).filter(F.col("class_size") > repeats).select("a", "b", "first")
+    often = line_classes(slim, steps, edits, min_chars, short).filter(F.col("class_size") > repeats).select("a", "b", "class_size", "first")
     often = steps.write(often)
-    hits = _lines(slim, min_chars).select("doc_id", "text_hash", "pos", "a", "b").join(often, ["a", "b"])
-    hits = hits.filter(F.struct("doc_id", "text_hash", "pos") != F.col("first"))
-    gone = steps.write(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone")))
+    hits = _lines(slim, min_chars, short).select("doc_id", "text_hash", "pos", "a", "b").join(often, ["a", "b"])
+    later = F.when(F.struct("doc_id", "text_hash", "pos") != F.col("first"), F.col("pos"))
+    member = F.struct("pos", "class_size", F.col("first.doc_id").alias("first_doc_id"), F.col("first.pos").alias("first_pos"))
+    gone = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(later).alias("gone"), F.sort_array(F.collect_set(member)).alias("classes"))
+    gone = steps.write(gone)
     # the row travels as one struct, so that no column of it can clash
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     match = (rows["row.doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(rows["row.text"]) == gone["text_hash"])
     # documents with removed lines grow with the corpus, so they meet the texts by a shuffle at every size
-    rows = rows.join(gone.hint("merge"), match, "left").select("row", "gone", F.split("row.text", "\n").alias("split"))
+    rows = rows.join(gone.hint("merge"), match, "left").select("row", "gone", "classes", F.split("row.text", "\n").alias("split"))
     left = F.array_except(F.sequence(F.lit(0), F.size("split") - 1), F.col("gone"))
     clean = F.array_join(F.transform(left, lambda i: F.get("split", i)), "\n")
-    hit = F.col("gone").isNotNull()
+    hit = F.coalesce(F.size("gone") > 0, F.lit(False))
     rows = rows.withColumn("clean", F.when(hit, clean).otherwise(F.col("row.text")))
     kept = ~hit | (F.length("clean") >= F.lit(min_left) * F.length("row.text")) & (F.length("clean") > 0)
     return rows.select(
@@ -204,4 +211,5 @@ def dedup_lines(
         F.when(F.col("split").isNull(), 0).otherwise(F.size("split")).cast("long").alias("n_lines"),
         F.when(hit, F.size("gone")).otherwise(0).cast("long").alias("n_removed"),
         kept.alias("kept"),
+        F.coalesce("classes", F.array().cast(gone.schema["classes"].dataType)).alias("classes"),
     )

@@ -41,7 +41,8 @@ def _op1(spark, sf_dir):
 @query("op2_line_dedup")
 def _op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "kept", "text")
+    rows = lines.dedup_lines(docs, repeats=1, min_left=0, short=True)
+    return rows.select("doc_id", "n_lines", "n_removed", "kept", "classes", "text")
 
 
 @query("op3_fingerprints")

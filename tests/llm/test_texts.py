@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabulon.llm import chat, lines, minhash, mixing, pieces, pii, quality
+from tabulon.llm.queries import QUERIES
 from tabulon.llm.steps import Steps
 
 SF = "/root/testdata/sf0.001"
@@ -133,6 +134,22 @@ def test_lines_brute_force(spark):
     assert got == want and any(not v[2] for v in want.values())
 
 
+def test_lines_from_the_second_on(spark):
+    """Every later occurrence goes, short lines by equality, and the classes name all members; what is left stays."""
+    near, own = "a line of words that stands twice", "its own text, which nothing else in the table has"
+    docs = [(1, f"{near}\n}}\n\n{own} 1"), (2, f"{near}!\n}}\n\nends here"), (3, f"{near}\n" * 9 + "left"), (4, "x\nx")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lines.dedup_lines(frame, repeats=1, min_left=0, short=True).collect()}
+    want = {1: docs[0][1], 2: "\nends here", 3: "left", 4: "x"}
+    assert {i: r["text"] for i, r in got.items()} == want and all(r["kept"] for r in got.values())
+    assert [tuple(c) for c in got[1]["classes"]] == [(0, 11, 1, 0), (1, 2, 1, 1)]
+    assert [tuple(c) for c in got[2]["classes"]] == [(0, 11, 1, 0), (1, 2, 1, 1)] and [tuple(c) for c in got[4]["classes"]] == [(0, 2, 4, 0), (1, 2, 4, 0)]
+    assert len(got[3]["classes"]) == 9 == got[3]["n_removed"]
+    sf = "/root/testdata/sf0.001"
+    for r in QUERIES["op2_line_dedup"](spark, sf).collect():
+        assert r["n_removed"] == sum((c["first_doc_id"], c["first_pos"]) != (r["doc_id"], c["pos"]) for c in r["classes"]) and all(c["class_size"] > 1 for c in r["classes"])
+
+
 def test_lines_probe_keys_are_complete(spark):
     """Every pair within the edits shares a key: index of the shorter, probes of the longer."""
     rng, rows = random.Random(4), []
