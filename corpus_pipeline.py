@@ -28,8 +28,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: lines that repeat too often keep one occurrence; documents left with little of their text go."""
-    return _documents(lines.dedup_lines(docs.select(*DOCUMENT)).filter("kept"))
+    """Line dedup: lines that repeat too often keep one occurrence; documents left without text go, however little is left of others stays."""
+    return _documents(lines.dedup_lines(docs.select(*DOCUMENT), min_left=0).filter("kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -424,6 +424,14 @@ def test_pipeline(spark):
     assert sorted(map(str, rows.select("doc_id", "n_pieces").collect())) == sorted(map(str, last.select("doc_id", "n_pieces").collect()))
 
 
+def test_pipeline_lines_keep_what_is_left(spark):
+    shared = "\n".join(f"{'abcdefgh'[i] * 30} of a long shared passage" for i in range(8))
+    rows = [(i, f"{shared}\nown line of {i}" if i % 2 else shared, "en", "a", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, docs, SF).collect()}
+    assert got == {i: shared if not i else f"own line of {i}" for i in (0, *range(1, 12, 2))}
+
+
 def test_pipeline_near_pairs(spark):
     """Pairs from 0.80 to below 0.85 go too, those below stay: 90 runs in common, 9 to 14 of the other text only."""
     rng, rows, want = random.Random(5), [], set()
