@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, embeddings, lines, minhash, mixing, passages, pieces, pii, quality, spotsigs
+from . import chat, embeddings, lines, minhash, mixing, passages, phrases, pieces, pii, quality, repair, spotsigs, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL for the operators that have a form in it; tests/llm compares the others with brute-force versions.
@@ -113,6 +113,57 @@ def _op10(spark, sf_dir):
     return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.load_pieces())
 
 
+@query(
+    "op11_phrases",
+    r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+       w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+       s AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) t(m)),
+       f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS n FROM s GROUP BY ALL),
+       t AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1), c AS (SELECT * FROM f WHERE m > 1 AND n >= 100),
+       u AS (SELECT lang, phrase, n AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM c),
+       x AS (SELECT u.lang, u.phrase, a, k, h.n AS l, r.n AS r, t.n, CAST((1000::HUGEINT * a * t.n) // (h.n::HUGEINT * r.n) AS BIGINT) AS score FROM u JOIN t ON t.lang = u.lang
+         JOIN f h ON h.lang = u.lang AND h.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = u.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+       y AS (SELECT * FROM x WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = x.lang AND c.n >= x.a AND c.phrase <> x.phrase AND contains(' ' || c.phrase || ' ', ' ' || x.phrase || ' '))
+         QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+       SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM y QUALIFY rank <= 2000""",
+)
+def _op11(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_conversation_repair",
+    r"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+         lambda c, b: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(c, b)), 4294967295), 4294967295) % 20 AS d FROM conversations),
+       h AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k),
+       n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS i FROM h),
+       g AS (SELECT *, regexp_replace(text, '[\x20\x09-\x0D]+\z', '') AS shown, lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS two, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM n),
+       f AS (SELECT *, CASE WHEN shown = '' THEN 'b' WHEN again THEN 'd' WHEN shown[-1:] NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM g),
+       ins(q, after, cost, audit, more) AS (VALUES ('', '', 0, '', []), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []), ('', 'u', 3, 'I', ['user:']), ('s', 'u', 3, 'I', ['user:']), ('a', 'u', 3, 'I', ['user:']), ('u', 'a', 3, 'I', ['assistant:']),
+         ('', 'a', 6, 'II', ['user:', 'assistant:']), ('s', 'a', 6, 'II', ['user:', 'assistant:'])),
+       keep(q, initial) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')), turned(q, after, role) AS (VALUES ('', 'u', 'user:'), ('s', 'u', 'user:'), ('u', 'a', 'assistant:'), ('a', 'u', 'user:')),
+       e AS (SELECT conv_id, i, q, q AS after, 4 AS cost, 'D' AS audit, CAST([] AS VARCHAR[]) AS more FROM f, (VALUES (''), ('s'), ('u'), ('a')) t(q)
+         UNION ALL SELECT conv_id, i, q, initial, CASE fault WHEN 't' THEN 3 ELSE 0 END, 'K', [role || ':' || text] FROM f JOIN keep ON initial = role[1:1] WHERE fault IN ('', 't')
+         UNION ALL SELECT conv_id, i, q, after, CASE fault WHEN 't' THEN 6 ELSE 3 END, 'R', [turned.role || text] FROM f, turned WHERE fault IN ('', 't')),
+       o AS (SELECT DISTINCT conv_id FROM conversations),
+       dp(conv_id, i, q, best) AS (SELECT conv_id, CAST(0 AS BIGINT), after, {'cost': cost, 'audit': audit, 'text': CAST(more AS VARCHAR[])} FROM o, ins WHERE q = ''
+         UNION ALL SELECT dp.conv_id, e.i, ins.after, min({'cost': best.cost + e.cost + ins.cost, 'audit': best.audit || e.audit || ins.audit, 'text': best.text || e.more || CAST(ins.more AS VARCHAR[])})
+           FROM dp JOIN e ON e.conv_id IS NOT DISTINCT FROM dp.conv_id AND e.i = dp.i + 1 AND e.q = dp.q JOIN ins ON ins.q = e.after GROUP BY 1, 2, 3),
+       z AS (SELECT conv_id, i, min(best) AS best FROM dp WHERE q IN ('', 'a') GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+       s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1)
+       SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+         sha256(array_to_string(best.text, chr(10))) AS repaired_sha256 FROM z LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM z.conv_id""",
+)
+def _op12(spark, sf_dir):
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_token_counts")
+def _op13(spark, sf_dir):
+    return tokencounts.count_tokens(table(spark, sf_dir, "documents"), tokencounts.load_vocabulary())
+
+
 @query("pipeline")
 def _pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
