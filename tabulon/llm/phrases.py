@@ -7,8 +7,8 @@ parts, and in suffix order, where it meets its rest; both are merged in lockstep
 Spark's sort-merge join, and so are the extensions by one word to the right and to the left.
 
 What cannot reach the least count is left out before it is sorted: a phrase is never more frequent than a word or a pair of
-words in it. Exact counts of words, then of pairs, set the bits of a filter of fixed size; a set bit may lie (then the exact count
-decides later), an empty one never does.
+words in it. Counts of words, then of pairs by a 32-bit number, set the bits of a filter of fixed size; a set bit may lie (the exact counts
+decide later), an empty one never does.
 """
 
 from __future__ import annotations
@@ -82,7 +82,8 @@ class Words:
 
 
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(a * _PAIR + b)
+    """32 bits of two words: pairs with the same number are counted as one, which can only set a bit too many."""
+    return mix(a * _PAIR + b) >> np.uint64(32)
 
 
 class Filter:
@@ -138,22 +139,19 @@ def _pairs(words: Words, frequent: Filter) -> pa.RecordBatch:
     hashes = words.hashes()
     good = frequent(hashes)[words.number]
     at = np.flatnonzero(good[:-1] & good[1:] & ~words.begins[1:])
-    size = len(words.counts)
-    pair, n = np.unique(words.number[at] * size + words.number[at + 1], return_counts=True)
-    a, b = pair // size, pair % size
-    text = pc.binary_join_element_wise(words.text_of(a), words.text_of(b), pa.scalar(" ", pa.large_string()))
-    return _batch(words, a, [text], n, pair_hash(hashes[a], hashes[b]))
+    pair, n = np.unique(pair_hash(hashes[words.number[at]], hashes[words.number[at + 1]]), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(pair.astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int32))], names=["h", "n"])
 
 
 def _records(words: Words, frequent: Filter) -> pa.RecordBatch:
-    """Positions whose next two pairs are frequent, with as many of the next words as frequent pairs tie to them."""
+    """Positions that begin a frequent pair, with as many of the next words as frequent pairs tie to them."""
     hashes, size, total = words.hashes(), len(words.counts), len(words.number)
     tied = np.zeros(total, bool)  # this word and the next one
     near = np.flatnonzero(~words.begins[1:])
     a, b = words.number[near], words.number[near + 1]
     tied[near] = frequent(pair_hash(hashes[a], hashes[b]))
     on = np.append(tied, np.zeros(LONGEST, bool))
-    at = np.flatnonzero(tied & on[1 : total + 1])
+    at = np.flatnonzero(tied)
     # a row of numbers a position, -1 behind its end; equal rows are counted together
     table = np.full((len(at), LONGEST), -1, np.int64)
     table[:, 0], going = words.number[at], np.ones(len(at), bool)
@@ -172,7 +170,7 @@ class _Stream:
     """Counts of the first ``m`` words, for every ``m``, of records in prefix order."""
 
     def __init__(self, least: int):
-        self.least, self.last, self.sums, self.first = least, None, dict.fromkeys(range(3, LONGEST + 1), 0), set(range(3, LONGEST + 1))
+        self.least, self.last, self.sums, self.first = least, None, dict.fromkeys(range(2, LONGEST + 1), 0), set(range(2, LONGEST + 1))
 
     def feed(self, batch: pa.RecordBatch) -> pa.Table:
         """Counts of the phrases that end in this batch. Those that may go on in another partition come whatever their count."""
@@ -186,7 +184,7 @@ class _Stream:
         for m, name in enumerate(["lang", *WORDS]):
             code = pc.fill_null(rows[name].combine_chunks().dictionary_encode().indices, -1).to_numpy()
             changed[1:] |= code[1:] != code[:-1]
-            if m < 3:
+            if m < 2:
                 continue
             start = np.flatnonzero(changed)
             sums = np.add.reduceat(n, start)
@@ -217,7 +215,7 @@ class _Stream:
 
 
 def _long_counts(records: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, n) of the phrases of three words or more, from one pass over the records in prefix order."""
+    """(lang, phrase, n) of the phrases of two words or more, from one pass over the records in prefix order."""
 
     def work(batches):
         stream = _Stream(least)
@@ -241,12 +239,12 @@ def count_phrases(docs: DataFrame, steps: Steps, least: int = LEAST) -> tuple[Da
     totals = singles.groupBy("lang").agg(F.sum("n").alias("total"))
     words = singles.filter(F.col("n") >= least)
     known = _filter(words)
-    pairs = _runs(docs, lambda w: _pairs(w, known), text).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("h").alias("h"))
-    pairs = steps.write(pairs.filter(F.col("n") >= least))
-    tied = _filter(pairs)
+    pairs = _runs(docs, lambda w: _pairs(w, known), "h int, n int").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    pairs = steps.write(pairs)
+    tied = _filter(pairs.select(F.col("h").cast("long").alias("h")))
     kind = f"lang string, {', '.join(f'{w} string' for w in WORDS)}, n long"
     records = steps.write(_runs(docs, lambda w: _records(w, tied), kind).groupBy("lang", *WORDS).agg(F.sum("n").alias("n")))
-    counts = words.drop("h").union(pairs.drop("h")).union(_long_counts(records, least))
+    counts = words.drop("h").union(_long_counts(records, least))
     counts = steps.write(counts.select("lang", "phrase", (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1).alias("m"), "n"))
     totals = steps.write(totals)
     steps.drop(singles, pairs, records)
@@ -277,7 +275,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     cuts = cuts.select("lang", "phrase", "a", "k", _words(F.lit(1), k).alias("head"), _words(k + 1, F.col("m") - k).alias("rest"))
     heads = counts.select("lang", F.col("phrase").alias("head"), F.col("n").alias("l"))
     rests = counts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
-    cuts = cuts.join(heads.hint("merge"), ["lang", "head"]).join(rests.hint("merge"), ["lang", "rest"]).join(totals.hint("merge"), "lang")
+    cuts = cuts.join(heads.hint("merge"), ["lang", "head"]).join(rests.hint("merge"), ["lang", "rest"])
+    # a language may hold most of the phrases: its total stands once per part
+    parts = partitions(docs.sparkSession)
+    totals = totals.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    cuts = cuts.withColumn("part", F.pmod(F.hash("phrase"), F.lit(parts))).join(totals.hint("merge"), ["lang", "part"])
     # whole numbers of up to 38 digits; the quotient is at most 1000 * n / max(l, r)
     score = F.expr("(cast(1000 as decimal(4,0)) * cast(a as decimal(16,0)) * cast(total as decimal(17,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
     best = F.min(F.struct(score.alias("score"), "k", "l", "r", "a", "total")).alias("x")

@@ -72,7 +72,7 @@ def test_phrases_of_a_stream_cut_anywhere():
     rows = [(*r, *[None] * (5 - len(r)), rnd.randint(1, 9)) for r in rows]
     want = Counter()
     for *w, n in rows:
-        for m in range(3, 6):
+        for m in range(2, 6):
             if w[m - 1]:
                 want[" ".join(w[:m])] += n
     for trial in range(20):
