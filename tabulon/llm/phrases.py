@@ -31,6 +31,8 @@ TOP = 2000
 FILTER_BITS = 1 << 25
 #: Bytes of text worked on at a time (a longer text stands alone).
 PART = 4 << 20
+#: Rows a task holds back to add up equal ones before they leave it.
+HELD = 1 << 18
 UNKNOWN = "und"
 
 # 0: part of a word, 1: between words, 2: ends a piece
@@ -108,10 +110,37 @@ def _filter(counts: DataFrame) -> Filter:
     return Filter(bits.tobytes())
 
 
-def _runs(docs: DataFrame, make, kind: str) -> DataFrame:
-    """``make(words)`` for every run of texts of every batch."""
+def _added(batches, held: int):
+    """Rows that agree in all but n, added up over as many batches as ``held`` rows allow."""
+    kept, rows = [], 0
+
+    def together():
+        table = pa.Table.from_batches(kept)
+        keys = [c for c in table.column_names if c != "n"]
+        out = table.group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return out.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).combine_chunks().to_batches()
+
+    for batch in batches:
+        kept.append(batch)
+        rows += batch.num_rows
+        if rows >= 2 * held:
+            kept = together()
+            rows = sum(b.num_rows for b in kept)
+            if rows >= held:  # hardly anything in common
+                yield from kept
+                kept, rows = [], 0
+    if kept:
+        yield from together()
+
+
+def _runs(docs: DataFrame, make, kind: str, held: int = 0) -> DataFrame:
+    """``make(words)`` for every run of texts of every batch; equal rows of a task are added up where ``held`` is given."""
 
     def work(batches):
+        rows = each(batches)
+        return _added(rows, held) if held else rows
+
+    def each(batches):
         for batch in batches:
             langs = pc.fill_null(batch.column(0).cast(pa.large_string()), UNKNOWN)
             data, offsets = column_bytes(batch.column(1))
@@ -243,7 +272,7 @@ def count_phrases(docs: DataFrame, steps: Steps, least: int = LEAST) -> tuple[Da
     pairs = steps.write(pairs)
     tied = _filter(pairs.select(F.col("h").cast("long").alias("h")))
     kind = f"lang string, {', '.join(f'{w} string' for w in WORDS)}, n long"
-    records = steps.write(_runs(docs, lambda w: _records(w, tied), kind).groupBy("lang", *WORDS).agg(F.sum("n").alias("n")))
+    records = steps.write(_runs(docs, lambda w: _records(w, tied), kind, HELD).groupBy("lang", *WORDS).agg(F.sum("n").alias("n")))
     counts = words.drop("h").union(_long_counts(records, least))
     counts = steps.write(counts.select("lang", "phrase", (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1).alias("m"), "n"))
     totals = steps.write(totals)
