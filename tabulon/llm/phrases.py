@@ -6,9 +6,9 @@ sorted records gives the counts of phrases of every length. The counts then lie
 parts, and in suffix order, where it meets its rest; both are merged in lockstep with the stream of phrases cut in two, by
 Spark's sort-merge join, and so are the extensions by one word to the right and to the left.
 
-What cannot reach the least count is left out before it is sorted: a phrase is never more frequent than a word or a pair of
-words in it. Counts of words, then of pairs by a 32-bit number, set the bits of a filter of fixed size; a set bit may lie (the exact counts
-decide later), an empty one never does.
+What cannot reach the least count is left out before it is sorted: a phrase is never more frequent than a pair of words in
+it. Words and pairs are counted first, all of them; the frequent pairs set the bits of a filter of fixed size, and records go only as far as
+such pairs follow one another. A set bit may lie (the exact counts decide later), an empty one never does.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ TOP = 2000
 FILTER_BITS = 1 << 25
 #: Bytes of text worked on at a time (a longer text stands alone).
 PART = 4 << 20
-#: Rows a task holds back to add up equal ones before they leave it.
-HELD = 1 << 18
 UNKNOWN = "und"
 
 # 0: part of a word, 1: between words, 2: ends a piece
@@ -72,9 +70,7 @@ class Words:
         self.begins[1:] = (stops[start[1:]] != stops[end[:-1]]) | (row[1:] != row[:-1])
 
     def hashes(self) -> np.ndarray:
-        words = pd.util.hash_array(self.text.to_numpy(zero_copy_only=False), categorize=False) if len(self.text) else np.zeros(0, np.uint64)
-        tongues = pd.util.hash_array(self.tongues.to_numpy(zero_copy_only=False), categorize=False)
-        return mix(words[self.word] ^ mix(tongues[self.lang]))
+        return word_hash(self.text, self.word, self.tongues, self.lang)
 
     def lang_of(self, numbers) -> pa.Array:
         return self.tongues.take(pa.array(self.lang[numbers]))
@@ -83,13 +79,20 @@ class Words:
         return self.text.take(pa.array(self.word[numbers]))
 
 
+def word_hash(text: pa.Array, word: np.ndarray, tongues: pa.Array, lang: np.ndarray) -> np.ndarray:
+    """64 bits of a language and a word, given by their places in ``tongues`` and ``text``."""
+    words, langs = (
+        pd.util.hash_array(x.to_numpy(zero_copy_only=False), categorize=False) if len(x) else np.zeros(0, np.uint64) for x in (text, tongues)
+    )
+    return mix(words[word] ^ mix(langs[lang]))
+
+
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """32 bits of two words: pairs with the same number are counted as one, which can only set a bit too many."""
-    return mix(a * _PAIR + b) >> np.uint64(32)
+    return mix(a * _PAIR + b)
 
 
 class Filter:
-    """Which hashes may belong to something frequent; ``None`` bits let everything pass."""
+    """Which hashes may belong to a frequent pair."""
 
     def __init__(self, bits: bytes):
         self.bits = bits
@@ -100,47 +103,29 @@ class Filter:
         return (slots[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _filter(counts: DataFrame) -> Filter:
-    """Bits of the hashes (column h) in ``counts``: at most ``FILTER_BITS / 64`` numbers reach the driver."""
-    slot = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = counts.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((h & {FILTER_BITS - 1}L) & 63L as int))")).alias("bits"))
-    found = rows.toArrow()
+def _filter(pairs: DataFrame) -> Filter:
+    """Bits of the hashes of ``pairs`` (lang, phrase): at most ``FILTER_BITS / 64`` numbers reach the driver."""
+
+    def work(batches):
+        for batch in batches:
+            tongues = batch.column(0).dictionary_encode()
+            words = pc.list_flatten(pc.split_pattern(batch.column(1), " ")).dictionary_encode()
+            code, lang = words.indices.to_numpy(), tongues.indices.to_numpy()
+            a, b = (word_hash(words.dictionary, code[k::2], tongues.dictionary, lang) for k in (0, 1))
+            at = pair_hash(a, b) % np.uint64(FILTER_BITS)
+            bit = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bit.view(np.int64))], names=["at", "bits"])
+
+    found = pairs.select("lang", "phrase").mapInArrow(work, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[found["at"].to_numpy()] = found["bits"].to_numpy()
     return Filter(bits.tobytes())
 
 
-def _added(batches, held: int):
-    """Rows that agree in all but n, added up over as many batches as ``held`` rows allow."""
-    kept, rows = [], 0
-
-    def together():
-        table = pa.Table.from_batches(kept)
-        keys = [c for c in table.column_names if c != "n"]
-        out = table.group_by(keys, use_threads=False).aggregate([("n", "sum")])
-        return out.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).combine_chunks().to_batches()
-
-    for batch in batches:
-        kept.append(batch)
-        rows += batch.num_rows
-        if rows >= 2 * held:
-            kept = together()
-            rows = sum(b.num_rows for b in kept)
-            if rows >= held:  # hardly anything in common
-                yield from kept
-                kept, rows = [], 0
-    if kept:
-        yield from together()
-
-
-def _runs(docs: DataFrame, make, kind: str, held: int = 0) -> DataFrame:
-    """``make(words)`` for every run of texts of every batch; equal rows of a task are added up where ``held`` is given."""
+def _runs(docs: DataFrame, make, kind: str) -> DataFrame:
+    """``make(words)`` for every run of texts of every batch."""
 
     def work(batches):
-        rows = each(batches)
-        return _added(rows, held) if held else rows
-
-    def each(batches):
         for batch in batches:
             langs = pc.fill_null(batch.column(0).cast(pa.large_string()), UNKNOWN)
             data, offsets = column_bytes(batch.column(1))
@@ -153,34 +138,33 @@ def _runs(docs: DataFrame, make, kind: str, held: int = 0) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(work, kind)
 
 
-def _singles(words: Words) -> pa.RecordBatch:
-    every = np.arange(len(words.counts))
-    return _batch(words, every, [words.text_of(every)], words.counts, words.hashes())
+def _batch(words: Words, first: np.ndarray, columns: list[pa.Array], names: list[str], counts: np.ndarray) -> pa.RecordBatch:
+    arrays = [words.lang_of(first), *columns]
+    return pa.RecordBatch.from_arrays([*(a.cast(pa.string()) for a in arrays), pa.array(counts.astype(np.int64))], names=["lang", *names, "n"])
 
 
-def _batch(words: Words, first: np.ndarray, columns: list, counts: np.ndarray, hashes: np.ndarray | None = None) -> pa.RecordBatch:
-    names = ["lang", *(["phrase"] if len(columns) == 1 else WORDS), "n", *([] if hashes is None else ["h"])]
-    arrays = [words.lang_of(first), *columns, pa.array(counts.astype(np.int64)), *([] if hashes is None else [pa.array(hashes.view(np.int64))])]
-    return pa.RecordBatch.from_arrays([a.cast(pa.string()) if pa.types.is_large_string(a.type) else a for a in arrays], names=names)
+def _singles(words: Words) -> pa.RecordBatch:
+    every = np.arange(len(words.counts))
+    return _batch(words, every, [words.text_of(every)], ["phrase"], words.counts)
 
 
-def _pairs(words: Words, frequent: Filter) -> pa.RecordBatch:
-    hashes = words.hashes()
-    good = frequent(hashes)[words.number]
-    at = np.flatnonzero(good[:-1] & good[1:] & ~words.begins[1:])
-    pair, n = np.unique(pair_hash(hashes[words.number[at]], hashes[words.number[at + 1]]), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(pair.astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int32))], names=["h", "n"])
+def _pairs(words: Words) -> pa.RecordBatch:
+    at, size = np.flatnonzero(~words.begins[1:]), len(words.counts)
+    pair, n = np.unique(words.number[at] * size + words.number[at + 1], return_counts=True)
+    a, b = pair // size, pair % size
+    text = pc.binary_join_element_wise(words.text_of(a), words.text_of(b), pa.scalar(" ", pa.large_string()))
+    return _batch(words, a, [text], ["phrase"], n)
 
 
 def _records(words: Words, frequent: Filter) -> pa.RecordBatch:
-    """Positions that begin a frequent pair, with as many of the next words as frequent pairs tie to them."""
+    """Positions whose next two pairs are frequent, with as many of the next words as frequent pairs tie to them."""
     hashes, size, total = words.hashes(), len(words.counts), len(words.number)
     tied = np.zeros(total, bool)  # this word and the next one
     near = np.flatnonzero(~words.begins[1:])
     a, b = words.number[near], words.number[near + 1]
     tied[near] = frequent(pair_hash(hashes[a], hashes[b]))
     on = np.append(tied, np.zeros(LONGEST, bool))
-    at = np.flatnonzero(tied)
+    at = np.flatnonzero(tied & on[1 : total + 1])
     # a row of numbers a position, -1 behind its end; equal rows are counted together
     table = np.full((len(at), LONGEST), -1, np.int64)
     table[:, 0], going = words.number[at], np.ones(len(at), bool)
@@ -192,14 +176,14 @@ def _records(words: Words, frequent: Filter) -> pa.RecordBatch:
         _, rows, key = np.unique(key * (size + 1) + table[:, k] + 1, return_index=True, return_inverse=True)
     rows, n = table[rows], np.bincount(key, minlength=len(rows))
     columns = [pc.if_else(pa.array(rows[:, k] >= 0), words.text_of(np.maximum(rows[:, k], 0)), pa.scalar(None, pa.large_string())) for k in range(LONGEST)]
-    return _batch(words, rows[:, 0], columns, n)
+    return _batch(words, rows[:, 0], columns, WORDS, n)
 
 
 class _Stream:
     """Counts of the first ``m`` words, for every ``m``, of records in prefix order."""
 
     def __init__(self, least: int):
-        self.least, self.last, self.sums, self.first = least, None, dict.fromkeys(range(2, LONGEST + 1), 0), set(range(2, LONGEST + 1))
+        self.least, self.last, self.sums, self.first = least, None, dict.fromkeys(range(3, LONGEST + 1), 0), set(range(3, LONGEST + 1))
 
     def feed(self, batch: pa.RecordBatch) -> pa.Table:
         """Counts of the phrases that end in this batch. Those that may go on in another partition come whatever their count."""
@@ -213,7 +197,7 @@ class _Stream:
         for m, name in enumerate(["lang", *WORDS]):
             code = pc.fill_null(rows[name].combine_chunks().dictionary_encode().indices, -1).to_numpy()
             changed[1:] |= code[1:] != code[:-1]
-            if m < 2:
+            if m < 3:
                 continue
             start = np.flatnonzero(changed)
             sums = np.add.reduceat(n, start)
@@ -244,7 +228,7 @@ class _Stream:
 
 
 def _long_counts(records: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, n) of the phrases of two words or more, from one pass over the records in prefix order."""
+    """(lang, phrase, n) of the phrases of three words or more, from one pass over the records in prefix order."""
 
     def work(batches):
         stream = _Stream(least)
@@ -262,20 +246,17 @@ def _long_counts(records: DataFrame, least: int) -> DataFrame:
 
 def count_phrases(docs: DataFrame, steps: Steps, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, m, n) of all phrases of up to five words with ``least`` occurrences or more, and (lang, total) of all words."""
-    text = "lang string, phrase string, n long, h long"
-    singles = _runs(docs, _singles, text).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("h").alias("h"))
-    singles = steps.write(singles)
-    totals = singles.groupBy("lang").agg(F.sum("n").alias("total"))
-    words = singles.filter(F.col("n") >= least)
-    known = _filter(words)
-    pairs = _runs(docs, lambda w: _pairs(w, known), "h int, n int").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    pairs = steps.write(pairs)
-    tied = _filter(pairs.select(F.col("h").cast("long").alias("h")))
+    def counted(make):
+        return _runs(docs, make, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+    singles = steps.write(counted(_singles))
+    totals = steps.write(singles.groupBy("lang").agg(F.sum("n").alias("total")))
+    pairs = steps.write(counted(_pairs).filter(F.col("n") >= least))
+    tied = _filter(pairs)
     kind = f"lang string, {', '.join(f'{w} string' for w in WORDS)}, n long"
-    records = steps.write(_runs(docs, lambda w: _records(w, tied), kind, HELD).groupBy("lang", *WORDS).agg(F.sum("n").alias("n")))
-    counts = words.drop("h").union(_long_counts(records, least))
+    records = steps.write(_runs(docs, lambda w: _records(w, tied), kind).groupBy("lang", *WORDS).agg(F.sum("n").alias("n")))
+    counts = singles.filter(F.col("n") >= least).union(pairs).union(_long_counts(records, least))
     counts = steps.write(counts.select("lang", "phrase", (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1).alias("m"), "n"))
-    totals = steps.write(totals)
     steps.drop(singles, pairs, records)
     return counts, totals
 
