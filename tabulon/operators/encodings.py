@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import durable
+from .ordered import Ordered, ordered, stable_hash
 
 KEY = "SK_ID_CURR"
 MIN_COUNT = 50
@@ -97,3 +98,46 @@ def child_out_of_fold(child: DataFrame, column: str, base: DataFrame, target: st
         F.coalesce(f"{prefix}_MAX", "_mean").alias(f"{prefix}_MAX"),
         F.coalesce(f"{prefix}_COUNT", F.lit(0)).alias(f"{prefix}_COUNT"),
     )
+
+
+def _levels(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """(keep, _column, _level): one row per row and categorical column; null is a level of its own."""
+    cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_level")) for c in columns])
+    return df.select(*keep, F.inline(cells))
+
+
+def _spread_back(df: DataFrame, placed: DataFrame, columns: list[str], key: str, value, suffix: str) -> DataFrame:
+    """``value`` of every (row, column) as one column per categorical column beside the rows of ``df``."""
+    wide = placed.groupBy(key).agg(*[F.max(F.when(F.col("_column") == c, value)).alias(f"{c}{suffix}") for c in columns])
+    return df.join(wide.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key")).drop("_key")
+
+
+def ordered_statistics(
+    df: DataFrame, columns: list[str], target: str, key: str, order=None, prior: float = 0.5, strength: float = 1.0, suffix: str = "_ts"
+) -> DataFrame:
+    """Adds one column per categorical column: the mean target of the rows with the same level that come before in a random order.
+
+    ``(sum before + strength * prior) / (rows before + strength)``: prefix sums per (column, level), so a row is never
+    encoded by its own target or a later one, and any number of levels is as good as two. The order is a hash of the (unique)
+    key unless a column ``order`` is given. Running sums go over ranges of the order, so a hot level is not one task.
+    """
+    rows = _levels(df.withColumn("_o", stable_hash(key, seed=17) if order is None else order), columns, key, "_o", target)
+    spec = Ordered(order="_o", keys=["_column", "_level"], tie=[key], running={"_s": ("sum", target), "_n": ("count", target)})
+    placed = ordered(rows, spec)
+    own, counted = F.coalesce(F.col(target), F.lit(0)), F.col(target).isNotNull().cast("int")
+    value = (F.coalesce(F.col("_s"), F.lit(0)) - own + strength * prior) / (F.col("_n") - counted + strength)
+    return _spread_back(df, placed, columns, key, value, suffix)
+
+
+def target_statistics(df: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """(_column, _level, _s, _n): sums and counts of the target over all rows of each level, written."""
+    return durable(_levels(df, columns, target).groupBy("_column", "_level").agg(F.sum(target).alias("_s"), F.count(target).alias("_n")))
+
+
+def apply_statistics(df: DataFrame, columns: list[str], key: str, table: DataFrame, prior: float = 0.5, strength: float = 1.0, suffix: str = "_ts") -> DataFrame:
+    """The columns of ``ordered_statistics`` for rows that are not learned from: all learned rows count, an unseen level gets the prior."""
+    rows = _levels(df, columns, key)
+    known = table.select(F.struct("_column", "_level").alias("_k"), "_s", "_n")  # a struct equals itself with a null level too
+    placed = rows.withColumn("_v", F.struct("_column", "_level")).join(known, F.col("_v") == F.col("_k"), "left")
+    value = (F.coalesce(F.col("_s"), F.lit(0)) + strength * prior) / (F.coalesce(F.col("_n"), F.lit(0)) + strength)
+    return _spread_back(df, placed, columns, key, value, suffix)

@@ -23,8 +23,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.layout import spread
 from ..sources.scratch import durable
+from . import encodings as E
 from . import evaluate as V
 
 PARALLEL_FITS = 1  # fits that run side by side; worth raising where executors would idle
@@ -107,14 +107,31 @@ def logistic_pipeline(numerics, categories, label: str, max_iter: int = 30, reg:
     return pipeline(numerics, categories, lr.setWeightCol(weight) if weight else lr)
 
 
+class TreePipeline(Pipeline):
+    """A pipeline whose last stage is a tree learner: it gets as many bins as the largest category has levels."""
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        *before, learner = self.getStages()
+        names = [c for stage in before if isinstance(stage, StringIndexer) for c in stage.getInputCols()]
+        if names:
+            most = max(df.agg(*[F.count_distinct(c).alias(c) for c in names]).head())
+            learner = learner.copy()
+            learner.setMaxBins(max(learner.getMaxBins(), most + 2))
+        return Pipeline(stages=[*before, learner]).fit(df)
+
+
+def tree_learner(numerics, categories, learner: Estimator) -> Pipeline:
+    return TreePipeline(stages=[*preparation(numerics, categories, scale=False, one_hot=False), learner])
+
+
 def tree_pipeline(numerics, categories, label: str, depth: int = 5) -> Pipeline:
     tree = DecisionTreeClassifier(labelCol=label, maxDepth=depth, maxBins=64, weightCol="weight", seed=42)
-    return pipeline(numerics, categories, tree, scale=False, one_hot=False)
+    return tree_learner(numerics, categories, tree)
 
 
 def forest_pipeline(numerics, categories, label: str, trees: int = 20, depth: int = 5) -> Pipeline:
     forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, maxBins=64, weightCol="weight", seed=42)
-    return pipeline(numerics, categories, forest, scale=False, one_hot=False)
+    return tree_learner(numerics, categories, forest)
 
 
 def boosted_pipeline(numerics, categories, label: str, rounds: int = 10, depth: int = 3, rate: float = 0.2, validation: str | None = None) -> Pipeline:
@@ -124,7 +141,23 @@ def boosted_pipeline(numerics, categories, label: str, rounds: int = 10, depth:
     )
     if validation:
         gbt = gbt.setValidationIndicatorCol(validation)
-    return pipeline(numerics, categories, gbt, scale=False, one_hot=False)
+    return tree_learner(numerics, categories, gbt)
+
+
+def boosted_on_categories(
+    train: DataFrame, rows: DataFrame, numerics: list[str], categories: list[str], label: str, key: str, watch: str, rounds: int = 10, **settings
+) -> DataFrame:
+    """``rows`` scored by boosted trees on raw categories (adds ``probability``); training stops early on the ``watch`` rows of ``train``.
+
+    Categories become ordered target statistics: a row that is learned from sees only the rows before it, the others
+    see all rows that are learned from. So there is no limit on levels, and no level needs a column or a bin.
+    """
+    learned, watched = train.filter(~F.col(watch)), train.filter(watch)
+    table = E.target_statistics(learned, categories, label)
+    encoded = E.ordered_statistics(learned, categories, label, key).unionByName(E.apply_statistics(watched, categories, key, table))
+    inputs = [*numerics, *[f"{c}_ts" for c in categories]]
+    model = boosted_pipeline(inputs, [], label, rounds, validation=watch, **settings).fit(durable(encoded))
+    return model.transform(E.apply_statistics(rows, categories, key, table))
 
 
 def network_pipeline(numerics, label: str, hidden: int = 8, max_iter: int = 40) -> Pipeline:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -106,19 +108,28 @@ def perplexity(model: DataFrame, model_text: str, df: DataFrame, key: str, text:
     return total.withColumn("perplexity", F.exp(-F.col("log_probability") / F.col("n_pairs")))
 
 
-def hmm_tables(df: DataFrame, seq: str, order: str, word: str, tag: str, alpha: float = 0.1):
+def word_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """(keep, at, word): every word of a text, in lower case, with its place from 0."""
+    return df.select(*keep, F.posexplode(F.split(F.lower(F.trim(F.col(text))), r"\s+")).alias("at", "word"))
+
+
+def hmm_tables(df: DataFrame, seq: str, order: str, word: str, tag: str, alpha: float = 0.1, tie: list[str] | None = None, max_tags: int = 256):
     """Smoothed start, transition and emission tables of tagged rows, with one slot for unknown words.
 
-    Returns (start, transition, emission, tag list). The tag list is the only thing collected.
+    Rows of a sequence are taken by ``order`` and ``tie``. Returns (start, transition, emission, tag list). The tag list is the only thing
+    collected; the model has a number for every pair of tags, so more than ``max_tags`` are refused.
     """
-    rows = df.select(seq, order, F.col(word).alias("word"), F.col(tag).alias("tag"))
+    tie = tie or []
+    rows = df.select(seq, order, *tie, F.col(word).alias("word"), F.col(tag).alias("tag"))
     tag_counts = rows.groupBy("tag").agg(F.count(F.lit(1)).alias("tag_n"))
-    tags = sorted(r.tag for r in tag_counts.select("tag").collect())  # the model itself has a number per pair of tags
+    tags = sorted(r.tag for r in tag_counts.select("tag").limit(max_tags + 1).collect())
+    if len(tags) > max_tags:
+        raise ValueError(f"more than {max_tags} tags")
     k = float(len(tags))
     spark = df.sparkSession
     grid = spark.createDataFrame([(t,) for t in tags], "tag string")
 
-    placed = ordered(rows, Ordered(order=order, keys=[seq], lag={"prev": "tag"}))
+    placed = ordered(rows, Ordered(order=order, keys=[seq], tie=tie, lag={"prev": "tag"}))
     starts = placed.filter("prev is null").groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
     n_seq = starts.agg(F.sum("n")).scalar()
     start = grid.join(starts, "tag", "left").select("tag", ((F.coalesce("n", F.lit(0)) + alpha) / (n_seq + alpha * k)).alias("p"))
@@ -141,73 +152,95 @@ def hmm_tables(df: DataFrame, seq: str, order: str, word: str, tag: str, alpha:
     return start, transition, emission.union(unknown), tags
 
 
-def _product_udf(k: int):
+def _stacked(blocks: pd.Series, width: int):
+    """(values, lengths): blocks of steps side by side, shorter ones filled up at the end."""
+    lengths = np.array([len(b) for b in blocks])
+    out = np.zeros((len(blocks), lengths.max(initial=0), width))
+    for i, b in enumerate(blocks):
+        out[i, : len(b)] = np.stack(list(b))
+    return out, lengths
+
+
+def _matrices(values: np.ndarray, t: int, first: np.ndarray, model) -> np.ndarray:
+    """The (max, +) matrices of step ``t`` of all blocks, from the emissions of its word or, on higher levels, as stored."""
+    if model is None:
+        k = math.isqrt(values.shape[2])
+        return values[:, t].reshape(-1, k, k)
+    start, step = model
+    lead = np.where((first & (t == 0))[:, None, None], start[None, None, :], step[None])
+    return lead + values[:, t][:, None, :]
+
+
+def _product_udf(k: int, model):
     """Best score from every entry state to every exit state over a block of steps."""
+    width = k if model is not None else k * k
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def best_scores(steps: pd.Series) -> pd.Series:
-        out = []
-        for block in steps:
-            total = None
-            for m in block:
-                m = np.asarray(m).reshape(k, k)
-                total = m if total is None else (total[:, :, None] + m[None, :, :]).max(axis=1)
-            out.append(total.ravel())
-        return pd.Series(out)
+    def best_scores(first: pd.Series, steps: pd.Series) -> pd.Series:
+        values, lengths = _stacked(steps, width)
+        begins = first.to_numpy(dtype=bool)
+        total = _matrices(values, 0, begins, model).copy()
+        for t in range(1, values.shape[1]):
+            on = lengths > t
+            m = _matrices(values[on], t, begins[on], model)
+            total[on] = np.max(total[on][:, :, :, None] + m[:, None, :, :], axis=2)
+        return pd.Series(list(total.reshape(len(total), -1)))
 
     return best_scores
 
 
-def _path_udf(k: int):
+def _path_udf(k: int, model):
     """The exit state of every step on the best path that enters a block in one state and leaves it in another."""
+    width = k if model is not None else k * k
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def best_path(entry: pd.Series, leave: pd.Series, steps: pd.Series) -> pd.Series:
+    def best_path(first: pd.Series, entry: pd.Series, leave: pd.Series, steps: pd.Series) -> pd.Series:
+        values, lengths = _stacked(steps, width)
+        begins, n = first.to_numpy(dtype=bool), len(steps)
+        score = np.full((n, k), -np.inf)
+        score[np.arange(n), entry.to_numpy(dtype=int)] = 0.0
+        back = np.zeros((n, values.shape[1], k), np.int32)
+        for t in range(values.shape[1]):
+            on = lengths > t
+            ways = score[on][:, :, None] + _matrices(values[on], t, begins[on], model)
+            back[on, t] = ways.argmax(axis=1)
+            score[on] = ways.max(axis=1)
         out = []
-        for i, j, block in zip(entry, leave, steps):
-            score = np.full(k, -np.inf)
-            score[i] = 0.0
-            back = []
-            for m in block:
-                ways = score[:, None] + np.asarray(m).reshape(k, k)
-                back.append(ways.argmax(axis=0))
-                score = ways.max(axis=0)
+        for i, j in enumerate(leave):
             path = [int(j)]
-            for b in reversed(back[1:]):
-                path.append(int(b[path[-1]]))
+            for t in range(lengths[i] - 1, 0, -1):
+                path.append(int(back[i, t, path[-1]]))
             out.append(path[::-1])
         return pd.Series(out)
 
     return best_path
 
 
-def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int = 1024) -> DataFrame:
-    """The most probable tag of every row of every sequence.
+def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int = 1024, tie: list[str] | None = None) -> DataFrame:
+    """The most probable tag of every row of every sequence: (seq, order, tie, tag).
 
-    The best score over a run of steps is a product in (max, +), which may be grouped freely. Steps
+    The best score over a run of steps is a product in (max, +), which may be grouped freely. A row carries the k
+    emission scores of its word, found in a dictionary by a join; the k * k matrix of a step is made where its block is worked on. Steps
     are multiplied in blocks of ``block``, blocks in blocks of blocks, until a sequence is one block;
-    then the best path is fixed from the top down. No task ever holds more than one block.
+    then the best path is fixed from the top down. No task ever holds more than one Arrow batch of blocks.
     """
     start, transition, emission, tags = tables
-    k = len(tags)
-    position = {t: i for i, t in enumerate(tags)}
-    # k and k*k numbers: bounded by the size check on the tags.
+    tie, k = tie or [], len(tags)
+    if not k:
+        return df.select(seq, order, *tie, F.lit(None).cast("string").alias("tag")).limit(0)
+    # k and k*k numbers, k is limited by hmm_tables
     s = {r.tag: r.p for r in start.collect()}
     a = {(r.prev, r.tag): r.p for r in transition.collect()}
-    log_a = [float(np.log(a[u, v])) for u in tags for v in tags]
-    log_s = [float(np.log(s[v])) for _ in tags for v in tags]
+    model = np.log([s[v] for v in tags]), np.log([[a[u, v] for v in tags] for u in tags])
     unknown = {r.tag: float(np.log(r.p)) for r in emission.filter("word is null").collect()}
 
     per_word = emission.filter("word is not null").groupBy("word").agg(
-        F.array(*[F.max(F.when(F.col("tag") == t, F.ln("p"))) for t in tags]).alias("e")
+        F.array(*[F.coalesce(F.max(F.when(F.col("tag") == t, F.ln("p"))), F.lit(unknown[t])) for t in tags]).alias("e")
     )
-    numbered = ordered(df.select(seq, order, F.col(word).alias("word")), Ordered(order=order, keys=[seq], row_number="_n"))
+    numbered = ordered(df.select(seq, order, *tie, F.col(word).alias("word")), Ordered(order=order, keys=[seq], tie=tie, row_number="_n"))
     rows = join_hot(numbered, per_word, "word", "left")
-    emit = [F.coalesce(F.col("e")[position[t]], F.lit(unknown[t])) for t in tags]
-    base = lambda logs: F.array(*[F.lit(x) for x in logs])
-    before = F.when(F.col("_n") == 1, base(log_s)).otherwise(base(log_a))
-    step = F.array(*[before[i * k + j] + emit[j] for i in range(k) for j in range(k)])
-    leaf = rows.select(seq, order, (F.col("_n") - 1).alias("_pos"), step.alias("_m"))
+    never = F.array(*[F.lit(unknown[t]) for t in tags])
+    leaf = rows.select(seq, order, *tie, (F.col("_n") - 1).alias("_pos"), F.coalesce("e", never).alias("_m"))
 
     def grouped(level: DataFrame) -> DataFrame:
         blocks = level.groupBy(seq, F.expr(f"_pos div {block}").alias("_block")).agg(
@@ -215,16 +248,17 @@ def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int =
         )
         return blocks.select(seq, "_block", F.transform("_s", lambda x: x["_m"]).alias("_steps"))
 
-    product, path = _product_udf(k), _path_udf(k)
     levels = [durable(leaf)]
     longest = levels[0].agg(F.max("_pos")).head()[0]
     longest = 0 if longest is None else longest
     tops = []
+    begins = F.col("_block") == 0
     while True:
+        kind = model if len(levels) == 1 else None
         up = durable(grouped(levels[-1]))
-        tops.append(up)
+        tops.append((up, kind))
         longest //= block
-        top = up.select(seq, F.col("_block").alias("_pos"), product("_steps").alias("_m"))
+        top = up.select(seq, F.col("_block").alias("_pos"), _product_udf(k, kind)(begins, "_steps").alias("_m"))
         if longest == 0:
             break
         levels.append(durable(top))
@@ -232,11 +266,11 @@ def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int =
     # At the top a sequence is one product; its best exit is the best end of the whole path.
     best = F.array_position("_m", F.array_max("_m")) - 1
     ends = top.select(seq, F.col("_pos").alias("_block"), (best.cast("int") / F.lit(k)).cast("int").alias("_i"), (best % k).cast("int").alias("_j"))
-    for up in reversed(tops):
-        chosen = up.join(ends, [seq, "_block"]).select(seq, "_block", "_i", path("_i", "_j", "_steps").alias("_path"))
+    for up, kind in reversed(tops):
+        chosen = up.join(ends, [seq, "_block"]).select(seq, "_block", "_i", _path_udf(k, kind)(begins, "_i", "_j", "_steps").alias("_path"))
         each = chosen.select(seq, "_block", F.col("_i").alias("_enter"), "_path", F.posexplode("_path").alias("_at", "_j"))
         enter = F.when(F.col("_at") == 0, F.col("_enter")).otherwise(F.col("_path")[F.col("_at") - 1])
         ends = each.select(seq, (F.col("_block") * block + F.col("_at")).alias("_block"), enter.alias("_i"), "_j")
     names = F.array(*[F.lit(t) for t in tags])
     answer = ends.select(seq, F.col("_block").alias("_pos"), names[F.col("_j")].alias("tag"))
-    return levels[0].select(seq, order, "_pos").join(answer, [seq, "_pos"]).select(seq, order, "tag")
+    return levels[0].select(seq, order, *tie, "_pos").join(answer, [seq, "_pos"]).select(seq, order, *tie, "tag")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,16 +147,55 @@ def adjust_p_values(df: DataFrame, p: str, key: str) -> DataFrame:
     )
 
 
-def bootstrap_means(df: DataFrame, key: str, value: str, replicates: int, seed: int = 42) -> DataFrame:
-    """One mean per replicate. Each row enters a replicate a Poisson(1) number of times, drawn by a hash."""
-    rep = df.select(key, F.col(value).cast("double").alias("x"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    u = (F.pmod(F.xxhash64(key, "replicate", F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    # steps of the distribution as far as the 2**40 values of u reach: no draw lies beyond the last
+def poisson_steps() -> list[float]:
+    """The distribution function of Poisson(1), as far as draws of 40 bits reach: no draw lies beyond the last."""
     steps, total, k = [], 0.0, 0
     while total < 1 - 2.0**-42:
         total += math.exp(-1) / math.factorial(k)
         steps.append(total)
         k += 1
-    weight = sum(((u > c).cast("int") for c in steps), F.lit(0))
-    w = rep.withColumn("w", weight).filter("w > 0")
-    return w.groupBy("replicate").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
+    return steps
+
+
+def bootstrap_state(df: DataFrame, key: str, value: str, replicates: int, seed: int = 42) -> DataFrame:
+    """(replicate, w, wx): the rows drawn and the sum of their values per replicate, from one pass over the rows.
+
+    A task keeps two numbers per replicate and adds up whole batches; states of tasks are added up by replicate, so what is
+    shuffled is tasks * replicates numbers however many rows there are. Rows without a value are left out.
+    """
+    # a row enters a replicate a Poisson(1) number of times, by xxhash64(key, replicate, seed): the engine hashes the key,
+    # the two whole numbers behind it are hashed here, for all replicates of a batch at once
+    one, two, three, five = (np.uint64(p) for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 2870177450012600261))
+    steps = np.array(poisson_steps())
+
+    def with_int(hashes: np.ndarray, number) -> np.ndarray:
+        h = (hashes + five + np.uint64(4)) ^ (number * one)
+        h = ((h << np.uint64(23)) | (h >> np.uint64(41))) * two + three
+        h = (h ^ (h >> np.uint64(33))) * two
+        h = (h ^ (h >> np.uint64(29))) * three
+        return h ^ (h >> np.uint64(32))
+
+    def work(batches):
+        count, total = np.zeros(replicates, np.int64), np.zeros(replicates)
+        numbers = np.arange(1, replicates + 1, dtype=np.uint64)
+        for batch in batches:
+            hashes = batch.column(0).to_numpy().view(np.uint64)
+            x = batch.column(1).to_numpy(zero_copy_only=False)
+            for lo in range(0, len(x), 4096):
+                with np.errstate(over="ignore"):
+                    draw = with_int(with_int(hashes[lo : lo + 4096, None], numbers[None, :]), np.uint64(seed))
+                u = ((draw & np.uint64((1 << 40) - 1)).astype(float) + 0.5) / float(1 << 40)
+                weight = np.searchsorted(steps, u, "left")
+                count += weight.sum(axis=0)
+                total += x[lo : lo + 4096] @ weight
+        yield pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int32)), pa.array(count), pa.array(total)], names=["replicate", "w", "wx"])
+
+    rows = df.select(F.xxhash64(key).alias("h"), F.col(value).cast("double").alias("x")).filter("x is not null")
+    parts = rows.mapInArrow(work, "replicate int, w long, wx double")
+    return parts.groupBy("replicate").agg(F.sum("w").alias("w"), F.sum("wx").alias("wx"))
+
+
+def bootstrap_means(df: DataFrame, key: str, value: str, replicates: int, seed: int = 42) -> DataFrame:
+    """One mean per replicate; a replicate that draws no row has none."""
+    state = bootstrap_state(df, key, value, replicates, seed).filter("w > 0")
+    return state.select("replicate", (F.col("wx") / F.col("w")).alias("mean"))

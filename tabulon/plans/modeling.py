@@ -20,6 +20,7 @@ from ..operators import preprocess as P
 from ..operators import profile as Prof
 from ..operators import splits as Sp
 from ..operators.ordered import Ordered, ordered, stable_hash
+from ..operators.perceptron import fit_perceptron
 from ..registry import query
 from ..sources import tables as Io
 from ..sources.scratch import durable, scratch_path
@@ -173,8 +174,20 @@ def boosted_with_categories(t):
     # The early stop watches a tenth of the training rows; the held-out rows stay unseen.
     df = frame(t).withColumn("watch", F.pmod(stable_hash("doc_id", seed=9), F.lit(10)) == 0)
     train = M.with_class_weight(df.filter("split = 'train'"), Y)
-    model = M.boosted_pipeline(NUM, CAT, Y, 8, validation="watch").fit(train)
-    return M.scores(model.transform(df.filter("split <> 'train'")), "doc_id", Y)
+    scored = M.boosted_on_categories(train, df.filter("split <> 'train'"), NUM, CAT, Y, "doc_id", "watch", 8)
+    return M.scores(scored, "doc_id", Y)
+
+
+@query(
+    "mlb13_ordered",
+    """WITH x AS (SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderstatus = 'F' AS INTEGER) AS y, o_orderkey * 7919 % 104729 AS place FROM orders)
+       SELECT o_orderkey, round((coalesce(sum(y) OVER c, 0) + 0.5) / (count(*) OVER c + 1), 10) AS o_custkey_ts, round((coalesce(sum(y) OVER p, 0) + 0.5) / (count(*) OVER p + 1), 10) AS o_orderpriority_ts FROM x
+       WINDOW c AS (PARTITION BY o_custkey ORDER BY place, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), p AS (PARTITION BY o_orderpriority ORDER BY place, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def ordered_target_statistics(t):
+    df = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    out = E.ordered_statistics(df, ["o_custkey", "o_orderpriority"], "y", "o_orderkey", F.col("o_orderkey") * 7919 % 104729)
+    return out.select("o_orderkey", *[R(c, 10).alias(c) for c in ("o_custkey_ts", "o_orderpriority_ts")])
 
 
 def price_frame(t):
@@ -228,9 +241,12 @@ def network(t):
 
 @query("mlb17")
 def linear_classifier(t):
+    """The perceptron rule on numbers scaled by the training rows."""
     df = frame(t)
-    model = M.linear_pipeline(NUM, CAT, Y, 15).fit(M.with_class_weight(df.filter("split = 'train'"), Y))
-    return model.transform(df).select("doc_id", Y, "split", F.col("prediction").cast("int").alias("prediction"))
+    scaler = P.fit_scaler(df.filter("split = 'train'"), NUM)
+    df = durable(scaler.transform(df.select("doc_id", Y, "split", *NUM)))
+    model = fit_perceptron(df.filter("split = 'train'"), "doc_id", NUM, Y)
+    return df.select("doc_id", Y, "split", model.predict().alias("prediction"))
 
 
 @query("mlb18")

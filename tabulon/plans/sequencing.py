@@ -74,13 +74,14 @@ def text_perplexity(t):
 
 
 def tagged(t):
-    """Conversations as tagged sequences: the role is the tag, the first token the word."""
-    return t.conversations.select("conv_id", "turn", F.split(F.lower(F.trim("text")), r"\s+")[0].alias("word"), F.col("role").alias("tag"))
+    """Conversations as tagged sequences: the role is the tag of every word of a turn."""
+    return Q.word_rows(t.conversations.withColumnRenamed("role", "tag"), "text", "conv_id", "turn", "tag")
 
 
 @query(
     "seq6",
-    r"""WITH r AS (SELECT conv_id, turn, regexp_split_to_array(lower(trim(text, ' ')), '\s+')[1] AS word, role AS tag, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations),
+    r"""WITH x AS (SELECT conv_id, turn, role AS tag, regexp_split_to_array(lower(trim(text, ' ')), '\s+') AS w FROM conversations), y AS (SELECT conv_id, turn, tag, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM x),
+       r AS (SELECT *, lag(tag) OVER (PARTITION BY conv_id ORDER BY turn, place) AS prev FROM y),
        tags AS (SELECT DISTINCT tag FROM r), k AS (SELECT count(*) AS k FROM tags), tc AS (SELECT tag, count(*) AS n FROM r GROUP BY 1),
        st AS (SELECT tag, count(*) AS n FROM r WHERE prev IS NULL GROUP BY 1), ns AS (SELECT sum(n) AS s FROM st),
        tr AS (SELECT prev, tag, count(*) AS n FROM r WHERE prev IS NOT NULL GROUP BY 1, 2), og AS (SELECT prev, sum(n) AS o FROM tr GROUP BY 1),
@@ -91,7 +92,7 @@ def tagged(t):
        UNION ALL SELECT 'emission', tag, NULL, round(0.1 / (n + 0.1 * (w + 1)), 10) FROM tc, w""",
 )
 def hidden_markov_tables(t):
-    start, transition, emission, _ = Q.hmm_tables(tagged(t), "conv_id", "turn", "word", "tag")
+    start, transition, emission, _ = Q.hmm_tables(tagged(t), "conv_id", "turn", "word", "tag", tie=["at"])
     kind = lambda k: F.lit(k).alias("kind")
     p = R("p", 10).alias("p")
     return (
@@ -104,4 +105,4 @@ def hidden_markov_tables(t):
 @query("seq7")
 def most_probable_tags(t):
     rows = tagged(t)
-    return Q.decode(rows, "conv_id", "turn", "word", Q.hmm_tables(rows, "conv_id", "turn", "word", "tag"))
+    return Q.decode(rows, "conv_id", "turn", "word", Q.hmm_tables(rows, "conv_id", "turn", "word", "tag", tie=["at"]), tie=["at"])

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tabulon.operators import cluster as K
+from tabulon.operators import encodings as E
+from tabulon.operators import evaluate as V
 from tabulon.operators import models as M
 from tabulon.operators import outliers as O
 from tabulon.operators import sequences as Q
 from tabulon.operators import splits as Sp
+from tabulon.operators.perceptron import fit_perceptron
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -61,6 +65,24 @@ def test_best_tags_equal_brute_force(spark, tables, block):
         assert tuple(found[i, j] for j in range(len(words))) == brute_force(tables, words)
 
 
+def test_every_word_is_tagged(spark):
+    """Words of several turns are one sequence by (turn, place); a long one goes over blocks and blocks of blocks."""
+    rng = random.Random(2)
+    said = [(c, t, rng.choice(["x", "y", "z"]), " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 3)))) for c in range(4) for t in range(3)]
+    df = spark.createDataFrame(said, "conv int, turn int, tag string, text string")
+    rows = Q.word_rows(df, "text", "conv", "turn", "tag")
+    tables = Q.hmm_tables(rows, "conv", "turn", "word", "tag", tie=["at"])
+    got = Q.decode(rows, "conv", "turn", "word", tables, block=2, tie=["at"]).collect()
+    words = {(r.conv, r.turn, r.at): r.word for r in rows.collect()}
+    assert len(got) == len(words)
+    for c in range(4):
+        places = sorted(p for p in words if p[0] == c)
+        found = {(r.conv, r.turn, r.at): r.tag for r in got}
+        assert tuple(found[p] for p in places) == brute_force(tables, [words[p] for p in places])
+    with pytest.raises(ValueError):
+        Q.hmm_tables(rows, "conv", "turn", "word", "tag", tie=["at"], max_tags=2)
+
+
 def test_probabilities_sum_to_one(tables):
     start, transition, emission, tags = tables
     assert math.isclose(sum(r.p for r in start.collect()), 1)
@@ -159,6 +181,87 @@ def test_outliers_are_found(spark):
     assert 8 <= sum(r.outlier for r in got.values()) <= 16
 
 
+def test_forest_is_the_same_under_any_partitioning(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.gauss(0, 1), rng.choice([1.0, 2.0])) for i in range(900)]
+    df = spark.createDataFrame(rows, "i int, x double, y double")
+    nodes = [sorted(map(tuple, O.isolation_forest(d, "i", ["x", "y"], trees=7, sample=32).collect())) for d in (df.repartition(5), df.coalesce(1).orderBy("x"))]
+    assert nodes[0] == nodes[1] and {n[0] for n in nodes[0]} == set(range(7))
+    leaves = Counter(n[0] for n in nodes[0] if n[2] < 0)
+    assert all(1 < leaves[t] <= 32 for t in range(7))
+    picked = O.tree_samples(df, "i", ["x", "y"], 7, 32, 42)
+    draw = F.pmod(F.xxhash64("i", "tree", F.lit(42)), F.lit(1 << 40)) / float(1 << 40)
+    everything = df.select("i", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("tree")).withColumn("h", draw).collect()
+    got = picked.collect()
+    for t in range(7):
+        least = {r.i for r in sorted((r for r in everything if r.tree == t), key=lambda r: r.h)[:32]}
+        assert least == {r.key for r in sorted((r for r in got if r.tree == t), key=lambda r: r.h)[:32]}
+    assert O.isolation_scores(df.limit(0), "i", ["x", "y"]).count() == 0
+
+
+def test_perceptron_equals_the_loop(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 3))
+    y = (x @ [1.0, -2.0, 0.5] + 0.3 + rng.normal(size=400) > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, r), int(v)) for i, (r, v) in enumerate(zip(x, y))], "i int, a double, b double, c double, y int")
+    order = [r.i for r in df.select("i", F.xxhash64("i", F.lit(42)).alias("h")).orderBy("h", "i").collect()]
+    w, b, history = np.zeros(3), 0.0, []
+    for _ in range(6):
+        wrong = 0
+        for i in order:
+            s = 1 if y[i] else -1
+            if s * (x[i] @ w + b) <= 0:
+                w, b, wrong = w + 0.5 * s * x[i], b + 0.5 * s, wrong + 1
+        history.append(wrong)
+    got = fit_perceptron(df.repartition(3), "i", ["a", "b", "c"], "y", rate=0.5, epochs=6, parts=1)
+    assert np.allclose(got.weights, w, atol=1e-9) and math.isclose(got.bias, b, abs_tol=1e-9) and got.mistakes == history
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_perceptron_parts_a_separable_table(spark, parts):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 2))
+    y = (x @ [2.0, -1.0] > 0.2).astype(int)
+    keep = np.abs(x @ [2.0, -1.0] - 0.2) > 0.3
+    rows = [(i, float(a), float(b), int(v)) for i, ((a, b), v, k) in enumerate(zip(x, y, keep)) if k]
+    df = spark.createDataFrame([*rows, (9999, None, 1.0, 1)], "i int, a double, b double, y int")
+    got = fit_perceptron(df, "i", ["a", "b"], "y", epochs=200, parts=parts)
+    assert got.mistakes[-1] == 0
+    assert all(r.y == r.p for r in df.filter("a is not null").select("y", got.predict().alias("p")).collect())
+    assert fit_perceptron(df.limit(0), "i", ["a", "b"], "y").weights == [0.0, 0.0]
+
+
+def test_ordered_statistics_by_hand(spark):
+    rows = [(i, random.Random(i).choice(["u", "v", None]), f"w{i % 40}", i % 3 % 2 if i % 11 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, c string, d string, y int")
+    order = {r.i: r.h for r in df.select("i", F.xxhash64("i", F.lit(17)).alias("h")).collect()}
+    got = {r.i: r for r in E.ordered_statistics(df, ["c", "d"], "y", "i").collect()}
+    assert len(got) == 300
+    for i, c, d, _ in rows:
+        for column, level, value in ((1, c, got[i].c_ts), (2, d, got[i].d_ts)):
+            before = [r[3] for r in rows if r[column] == level and (order[r[0]], r[0]) < (order[i], i) and r[3] is not None]
+            assert math.isclose(value, (sum(before) + 0.5) / (len(before) + 1))
+    table = E.target_statistics(df, ["c", "d"], "y")
+    new = spark.createDataFrame([(1, "u", "never"), (2, None, "w3")], "i int, c string, d string")
+    got = {r.i: r for r in E.apply_statistics(new, ["c", "d"], "i", table).collect()}
+    known = [r[3] for r in rows if r[1] is None and r[3] is not None]
+    assert got[1].d_ts == 0.5 and math.isclose(got[2].c_ts, (sum(known) + 0.5) / (len(known) + 1))
+
+
+def test_boosting_on_many_levels(spark):
+    """A category of 300 levels that decides the target: no limit on levels, and at least as good as indexed levels."""
+    rng = random.Random(9)
+    rate = {j: rng.choice([0.1, 0.9]) for j in range(300)}
+    rows = [(i, j := rng.randrange(300), rng.gauss(0, 1), int(rng.random() < rate[j])) for i in range(6000)]
+    df = spark.createDataFrame([(i, f"c{j}", x, y) for i, j, x, y in rows], "i int, c string, x double, quality int")
+    df = M.with_class_weight(df, "quality").withColumn("watch", F.col("i") % 10 == 0)
+    train, held = df.filter("i % 4 <> 3"), df.filter("i % 4 = 3")
+    own = M.scores(M.boosted_on_categories(train, held, ["x"], ["c"], "quality", "i", "watch", 5), "i", "quality")
+    indexed = M.scores(M.boosted_pipeline(["x"], ["c"], "quality", 5, validation="watch").fit(train).transform(held), "i", "quality")
+    auc = {n: V.auc_ap(V.score_curve(s.withColumn("g", F.lit(1)), "score", "quality", ["g"]), ["g"]).head().roc_auc for n, s in (("own", own), ("indexed", indexed))}
+    assert auc["own"] >= auc["indexed"] - 0.005 and auc["own"] > 0.85
+
+
 def test_sampled_settings_stay_in_range():
     s = M.sampled_settings({"a": (0.01, 1.0), "b": [1, 2]}, 20)
     assert len(s) == 20 and all(0.01 <= x["a"] <= 1 and x["b"] in (1, 2) for x in s) and s == M.sampled_settings({"a": (0.01, 1.0), "b": [1, 2]}, 20)

@@ -88,9 +88,11 @@ def test_category_counts_keep_null(spark):
     assert (r[1].P_C_X, r[1].P_C_NAN, r[1].P_C_Y, r[1].N) == (2, 1, 0, 3) and math.isclose(r[1].P_C_X_RATE, 2 / 3)
 
 
-def test_too_many_levels_are_refused(spark):
-    with pytest.raises(ValueError):
-        A.levels(spark.range(20), ["id"], limit=5)
+def test_thousands_of_levels(spark):
+    df = spark.range(5000).select("id", F.concat(F.lit("v"), F.col("id")).alias("c"))
+    assert A.levels(df, ["c"])["c"] == sorted(f"v{i}" for i in range(5000))
+    rows = A.level_profile(df.withColumn("k", F.col("id") % 3), "k", ["c"]).collect()
+    assert len(rows) == 5000 and all(r.n == 1 and math.isclose(r.rate, 1 / (1667 if r.k < 2 else 1666)) for r in rows)
 
 
 def test_mode_and_recent_value(spark):
@@ -299,3 +301,16 @@ def test_any_number_of_levels(spark):
     assert long.count() == 5000 and long.filter("n <> 2 or abs(rate - 0.002) > 1e-9").count() == 0
     assert len(A.levels(df, ["c"])["c"]) == 5000
     assert len(P.fit_one_hot(df, "c").kept) == 5000
+
+
+def test_bootstrap_state_equals_the_rows_drawn_one_by_one(spark):
+    """The one-pass state draws what xxhash64(key, replicate, seed) says, row by row, for text and number keys."""
+    df = spark.range(500).select("id", F.concat(F.lit("k"), "id").alias("name"), F.when(F.col("id") % 7 > 0, (F.col("id") % 50).cast("double")).alias("x"))
+    for key in ("id", "name"):
+        rep = df.filter("x is not null").select(key, "x", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("replicate"))
+        u = (F.pmod(F.xxhash64(key, "replicate", F.lit(42)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+        w = sum(((u > c).cast("int") for c in St.poisson_steps()), F.lit(0))
+        want = {r.replicate: (r.w, r.wx) for r in rep.groupBy("replicate").agg(F.sum(w).alias("w"), F.sum(w * F.col("x")).alias("wx")).collect()}
+        got = {r.replicate: (r.w, r.wx) for r in St.bootstrap_state(df.repartition(5), key, "x", 20).collect()}
+        assert got == want
+    assert St.bootstrap_means(df.limit(0), "id", "x", 5).count() == 0
