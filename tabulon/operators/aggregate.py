@@ -61,6 +61,37 @@ def level_profile(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return counts.join(total, [key, "column_name"]).select(key, "column_name", "level", "n", (F.col("n") / F.col("_all")).alias("rate"))
 
 
+def sparse_profile(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, column_name, counts, n_null, n_rows): per key and column a map of its own values to their numbers of rows.
+
+    Rows are counted per (key, column, value) before anything is brought together, so a key's map is as long as its own distinct values;
+    no list of all values exists anywhere. ``named_levels`` makes columns of the values that a caller names.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("level")) for c in present(df, columns)])
+    counts = df.filter(F.col(key).isNotNull()).select(key, F.inline(pairs)).groupBy(key, "column_name", "level").agg(F.count(F.lit(1)).alias("n"))
+    entry = F.when(F.col("level").isNotNull(), F.struct("level", "n"))
+    return counts.groupBy(key, "column_name").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("counts"),
+        F.coalesce(F.sum(F.when(F.col("level").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.sum("n").alias("n_rows"),
+    )
+
+
+def named_levels(sparse: DataFrame, key: str, columns: dict[str, tuple[str, list[str]]]) -> DataFrame:
+    """One row per key: counts and rates of the named values of each column, null as a value of its own, as ``level_counts`` names them.
+
+    ``columns`` maps a column to the prefix of its outputs and its values.
+    """
+    outs = []
+    for column, (prefix, values) in columns.items():
+        here = F.col("column_name") == column
+        numbers = [F.coalesce(F.col("counts")[v], F.lit(0)) for v in values] + [F.col("n_null")]
+        for name, n in zip(level_names(prefix, values), numbers):
+            outs.append(F.max(F.when(here, n)).alias(name))
+            outs.append(F.max(F.when(here, n / F.col("n_rows"))).alias(f"{name}_RATE"))
+    return sparse.groupBy(key).agg(*outs)
+
+
 def level_counts(column: str, prefix: str, values: list) -> list[Column]:
     """Rows per value, null as a value of its own, named PREFIX_VALUE."""
     x = f"CAST({quoted(column)} AS STRING)"

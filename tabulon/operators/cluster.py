@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -46,6 +48,64 @@ def new_centers(df: DataFrame, array: str, cluster: str) -> DataFrame:
     return cells.groupBy(cluster, "position").agg(F.avg(F.col("x").cast("double")).alias("mean"))
 
 
+def silhouettes(df: DataFrame, key: str, array: str, cluster: str, block: int = 256) -> DataFrame:
+    """(key, cluster, a, b, silhouette) by Euclidean distance: mean distance to the other points of the own cluster, least mean distance
+    to another cluster, and ``(b - a) / max(a, b)``; 0 for a point alone in its cluster, null where there is one cluster only.
+
+    A cluster's mean distance is at least the distance to its centre and at most the root of that squared plus its mean squared
+    radius; clusters whose lower bound is above the least upper bound are left out. The others are measured exactly, blocks of
+    points against blocks of a cluster's points, and only sums per point leave a task. The driver holds the centres.
+    """
+    points = durable(df.select(F.col(key).alias("key"), F.transform(array, lambda v: v.cast("double")).alias("x"), F.col(cluster).alias("c")))
+    means = points.select("c", F.posexplode("x").alias("at", "v")).groupBy("c", "at").agg(F.avg("v").alias("m"), F.var_pop("v").alias("v"), F.count("v").alias("n"))
+    found: dict = {}
+    for r in means.orderBy("c", "at").collect():
+        found.setdefault(r.c, []).append((r.m, r.v, r.n))
+    names = list(found)
+    if not names:
+        return df.select(key, F.col(cluster).alias("cluster"), *[F.lit(None).cast("double").alias(n) for n in ("a", "b", "silhouette")]).limit(0)
+    centers = np.array([[m for m, _, _ in found[c]] for c in names])
+    radius = np.array([sum(v for _, v, _ in found[c]) for c in names])
+    sizes = [found[c][0][2] for c in names]
+    place = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(c), F.lit(i))])
+
+    @F.pandas_udf("array<int>")
+    def asked(x: pd.Series, own: pd.Series) -> pd.Series:
+        rows, mine = np.stack(list(x)), own.to_numpy()
+        square = np.stack([((rows - c) ** 2).sum(axis=1) for c in centers], axis=1)
+        high = np.sqrt(square + radius)
+        high[np.arange(len(rows)), mine] = np.inf
+        near = np.sqrt(square) * (1 - 1e-9) <= high.min(axis=1, keepdims=True) * (1 + 1e-9)
+        near[np.arange(len(rows)), mine] = True
+        return pd.Series([np.flatnonzero(n).astype(np.int32) for n in near])
+
+    parts = F.element_at(F.array(*[F.lit(-(-n // block)) for n in sizes]), F.col("i") + 1)
+    numbered = points.withColumn("i", place[F.col("c")])
+    there = numbered.groupBy("i", F.pmod(F.xxhash64("key", F.lit(1)), parts).alias("part")).agg(F.collect_list("x").alias("there")).select("i", "there")
+    every = -(-sum(sizes) // block)
+    here = numbered.select("key", "x", F.explode(asked("x", "i")).alias("i"))
+    here = here.groupBy("i", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(every)).alias("part")).agg(F.collect_list(F.struct("key", "x")).alias("here"))
+
+    @F.pandas_udf("array<double>")
+    def sums(mine: pd.Series, theirs: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(mine, theirs):
+            a, b = np.stack(list(a)), np.stack(list(b))
+            out.append(np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)).sum(axis=1))
+        return pd.Series(out)
+
+    met = here.join(there, "i").select("i", F.col("here.key").alias("keys"), sums(F.col("here.x"), "there").alias("s"))
+    total = met.select("i", F.inline(F.arrays_zip("keys", "s"))).groupBy("keys", "i").agg(F.sum("s").alias("s"))
+    both = total.join(numbered.select(F.col("key").alias("keys"), "c", F.col("i").alias("own")), "keys")
+    count = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("i") + 1)
+    mine = F.col("i") == F.col("own")
+    done = both.groupBy("keys", "c").agg(
+        F.max(F.when(mine & (count > 1), F.col("s") / (count - 1))).alias("a"), F.min(F.when(~mine, F.col("s") / count)).alias("b")
+    )
+    score = F.when(F.col("b").isNull(), None).when(F.col("a").isNull(), 0.0).otherwise(safe_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
+    return done.select(F.col("keys").alias(key), F.col("c").alias("cluster"), "a", "b", F.when(F.greatest("a", "b") == 0, 0.0).otherwise(score).alias("silhouette"))
+
+
 def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     """Agreement of two labelings from their contingency table, corrected for chance."""
     cells = df.groupBy(a, b).agg(F.count("*").alias("n"))

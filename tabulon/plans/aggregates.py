@@ -247,8 +247,19 @@ def dummies_sql(column, prefix, values):
     f"WITH b AS ({S.SQL['bureau']}) SELECT SK_ID_CURR, {dummies_sql('CREDIT_ACTIVE', 'BURO_ACTIVE', ['Active', 'Closed'])} FROM b GROUP BY 1",
 )
 def category_counts(t):
-    wide, _ = A.key_profile(S.bureau(t), "SK_ID_CURR", "BURO", [], {"CREDIT_ACTIVE": "BURO_ACTIVE"})
-    return rounded(wide)
+    sparse = A.sparse_profile(S.bureau(t), "SK_ID_CURR", ["CREDIT_ACTIVE"])
+    return rounded(A.named_levels(sparse, "SK_ID_CURR", {"CREDIT_ACTIVE": ("BURO_ACTIVE", ["Active", "Closed"])}))
+
+
+@query(
+    "agg18_sparse",
+    """SELECT o_orderpriority, CAST(o_custkey AS VARCHAR) AS level, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 10) AS rate FROM orders GROUP BY o_orderpriority, o_custkey""",
+)
+def sparse_counts(t):
+    """A category with as many values as there are customers."""
+    sparse = A.sparse_profile(t.orders, "o_orderpriority", ["o_custkey"])
+    rows = sparse.select("o_orderpriority", "n_rows", F.explode("counts").alias("level", "n"))
+    return rows.select("o_orderpriority", "level", "n", F.round(F.col("n") / F.col("n_rows"), 10).alias("rate"))
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import batched as B
 from ..operators import cluster as K
 from ..operators import encodings as E
 from ..operators import evaluate as V
@@ -277,7 +278,8 @@ def silhouette(t):
     df = K.as_vectors(durable(t.embeddings.select("vec_id", "embedding")), "embedding")
     predicted = K.best_kmeans(df, 4, seeds=(1,)).transform(df)
     rows = [(name, ClusteringEvaluator(distanceMeasure=name).evaluate(predicted)) for name in ("squaredEuclidean", "cosine")]
-    return t.spark.createDataFrame(rows, "distance string, silhouette double")
+    own = K.silhouettes(predicted, "vec_id", "embedding", "prediction").agg(F.lit("euclidean").alias("distance"), F.avg("silhouette").alias("silhouette"))
+    return own.union(t.spark.createDataFrame(rows, "distance string, silhouette double"))
 
 
 @query(
@@ -334,25 +336,31 @@ def isolation(t):
     return O.isolation_outliers(df, "l_suppkey", ["q", "p", "n"]).select("l_suppkey", "anomaly", "outlier")
 
 
-MODELS = {"logistic": lambda: M.logistic_pipeline(NUM, CAT, Y, 10), "tree": lambda: M.tree_pipeline(NUM, CAT, Y, 4)}
+MODELS = ["logistic", "tree"]
+TREES = {"tree": lambda: M.tree_pipeline(NUM, CAT, Y, 4)}
+
+
+def set_scores(df, sets, k, fold="fold"):
+    """Out-of-fold scores of a logistic model per feature set, all fitted together."""
+    return B.cross_scores(df, "doc_id", Y, B.fold_problems(sets, fold, k)).drop("fold_by")
+
+
+def model_scores(df, k):
+    return set_scores(df, {"logistic": (NUM, CAT)}, k).unionByName(M.cross_validated(df, "doc_id", Y, "fold", k, TREES))
 
 
 @query("evl12")
 def model_comparison(t):
-    return M.summary(M.fold_metrics(M.cross_validated(folded(t), "doc_id", Y, "fold", 3, MODELS), Y), ["model"])
+    return M.summary(M.fold_metrics(model_scores(folded(t), 3), Y), ["model"])
 
 
 FEATURE_SETS = {"length": (NUM[:3], []), "marks": (NUM[3:], []), "all": (NUM, CAT)}
 
 
-def set_models(sets):
-    return {n: (lambda a=a, b=b: M.logistic_pipeline(a, b, Y, 8)) for n, (a, b) in sets.items()}
-
-
 @query("evl13")
 def feature_set_comparison(t):
     df = folded(t)
-    out = M.summary(M.fold_metrics(M.cross_validated(df, "doc_id", Y, "fold", 3, set_models(FEATURE_SETS)), Y), ["model"])
+    out = M.summary(M.fold_metrics(set_scores(df, FEATURE_SETS, 3), Y), ["model"])
     levels = {c: df.agg(F.count_distinct(c)).head()[0] for c in CAT}
     counts = [(n, len(a) + len(b), len(a) + sum(levels[c] + 1 for c in b)) for n, (a, b) in FEATURE_SETS.items()]
     sizes = t.spark.createDataFrame(counts, "model string, n_raw int, n_transformed int")
@@ -382,7 +390,7 @@ def group_experiments(t):
     for n, c in groups.items():
         seen = seen + c
         sets[f"upto_{n}"] = (seen, [])
-    metrics = M.fold_metrics(M.cross_validated(folded(t, 2), "doc_id", Y, "fold", 2, set_models(sets)), Y)
+    metrics = M.fold_metrics(set_scores(folded(t, 2), sets, 2), Y)
     return ranked_results(metrics.groupBy("model").agg(F.avg("roc_auc").alias("roc_auc"), F.avg("average_precision").alias("ap")))
 
 
@@ -408,7 +416,7 @@ def experiment_ranking(t):
 def ablation(t):
     groups = {"length": NUM[:3], "marks": NUM[3:6], "words": NUM[6:]}
     sets = {"baseline": (NUM, [])} | {f"without_{n}": ([c for c in NUM if c not in g], []) for n, g in groups.items()}
-    metrics = M.fold_metrics(M.cross_validated(folded(t, 2), "doc_id", Y, "fold", 2, set_models(sets)), Y)
+    metrics = M.fold_metrics(set_scores(folded(t, 2), sets, 2), Y)
     mean = metrics.groupBy("model").agg(F.avg("roc_auc").alias("roc_auc"))
     base = mean.filter("model = 'baseline'").select("roc_auc").scalar()
     return mean.withColumn("change", F.col("roc_auc") - base)
@@ -449,7 +457,7 @@ def iterative_pruning(t):
     weak = P.anova_f(df, NUM, Y).orderBy("f", "name").select("name").limit(len(NUM)).collect()
     order = [r.name for r in weak]
     sets = {f"drop_{n:02d}": ([c for c in NUM if c not in order[:n]], []) for n in (0, 1, 3)}
-    metrics = M.fold_metrics(M.cross_validated(df, "doc_id", Y, "fold", 2, set_models(sets)), Y)
+    metrics = M.fold_metrics(set_scores(df, sets, 2), Y)
     mean = metrics.groupBy("model").agg(F.avg("roc_auc").alias("roc_auc"))
     return pruning_choice(mean.withColumn("dropped", F.substring("model", 6, 2).cast("int")), 0.002)
 
@@ -481,8 +489,8 @@ def pruning_candidates(t):
 def stacked(t, k=3):
     """Out-of-fold scores of the base models beside two raw features, one row per document."""
     df = folded(t, k)
-    oof = M.cross_validated(df, "doc_id", Y, "fold", k, MODELS)
-    wide = oof.groupBy("doc_id").pivot("model", list(MODELS)).agg(F.first("score"))
+    oof = model_scores(df, k)
+    wide = oof.groupBy("doc_id").pivot("model", MODELS).agg(F.first("score"))
     return df.select("doc_id", Y, "fold", "n_chars", "mark_share").join(wide, "doc_id")
 
 
@@ -490,21 +498,26 @@ def stacked(t, k=3):
 def stacking(t):
     meta = durable(stacked(t))
     inputs = [*MODELS, "n_chars", "mark_share"]
-    oof = M.cross_validated(meta, "doc_id", Y, "fold", 3, {"meta": lambda: M.logistic_pipeline(inputs, [], Y, 10)})
+    oof = set_scores(meta, {"meta": (inputs, [])}, 3)
     return oof.select("doc_id", Y, "score")
 
 
 @query("evl24")
 def robustness(t):
-    base = durable(M.text_frame(t.documents, t.labels.select("doc_id", Y)))
-    parts = None
-    for seed in (42, 123, 2024):
-        df = durable(Sp.stratified_folds(base, "doc_id", Y, 3, seed))
-        oof = M.cross_validated(df, "doc_id", Y, "fold", 3, MODELS).withColumn("seed", F.lit(seed))
-        parts = oof if parts is None else parts.union(oof)
-    wide = parts.groupBy("seed", "fold", "doc_id", Y).pivot("model", list(MODELS)).agg(F.first("score"))
+    seeds = (42, 123, 2024)
+    rows = t.labels.select("doc_id", Y)
+    for seed in seeds:
+        rows = Sp.stratified_folds(rows, "doc_id", Y, 3, seed, f"fold_{seed}")
+    df = durable(M.text_frame(t.documents, rows))
+    # the logistic models of all seeds and folds advance together
+    together = [p for seed in seeds for p in B.fold_problems({"logistic": (NUM, CAT)}, f"fold_{seed}", 3)]
+    parts = B.cross_scores(df, "doc_id", Y, together).withColumn("seed", F.substring("fold_by", 6, 9).cast("int")).drop("fold_by")
+    for seed in seeds:
+        trees = M.cross_validated(df.withColumn("fold", F.col(f"fold_{seed}")), "doc_id", Y, "fold", 3, TREES)
+        parts = parts.unionByName(trees.withColumn("seed", F.lit(seed)))
+    wide = parts.groupBy("seed", "fold", "doc_id", Y).pivot("model", MODELS).agg(F.first("score"))
     a, b = (F.col(m) for m in MODELS)
-    scores = F.array(*[F.struct(F.lit(n).alias("model"), c.alias("score")) for n, c in ((list(MODELS)[0], a), (list(MODELS)[1], b), ("blend", (a + b) / 2))])
+    scores = F.array(*[F.struct(F.lit(n).alias("model"), c.alias("score")) for n, c in ((MODELS[0], a), (MODELS[1], b), ("blend", (a + b) / 2))])
     long = durable(wide.select("seed", "fold", Y, F.inline(scores)))
     out = M.summary(M.fold_metrics(long, Y, ("model", "seed", "fold")), ["model"])
     gain = out.agg(F.max(F.when(F.col("model") == "blend", F.col("mean"))) - F.max(F.when(F.col("model") != "blend", F.col("mean")))).scalar()

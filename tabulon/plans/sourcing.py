@@ -1,11 +1,13 @@
 """Reading, writing, catalog and caching."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import models as M
 from ..registry import query
 from ..sources import tables as Io
-from ..sources.scratch import scratch_path
+from ..sources.scratch import durable, scratch_path
 
 SUPPLIER = "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"
 
@@ -66,11 +68,32 @@ def table_schemas(t):
 
 @query("src7")
 def scan_guard(t):
-    rows = []
-    for name in ("lineitem", "orders", "nation"):
-        size = Io.scan_bytes(getattr(t, name))
-        rows.append((name, size, size <= 100_000))
-    return t.spark.createDataFrame(rows, "table_name string, bytes long, allowed boolean")
+    """What scans of all columns, of two columns and of two columns in a range of keys would read, from the footers."""
+    asked = {"lineitem": ["l_orderkey", "l_quantity"], "orders": ["o_orderkey", "o_totalprice"], "customer": ["c_custkey", "c_acctbal"]}
+    out = None
+    for name, columns in asked.items():
+        footers = durable(Io.parquet_footers(getattr(t, name)))
+        scans = {"all": (None, None), "columns": (columns, None), "range": (columns, {columns[0]: (None, 0)})}
+        for scan, (wanted, between) in scans.items():
+            row = Io.scan_estimate(footers, wanted, between).select(F.lit(name).alias("table_name"), F.lit(scan).alias("scan"), "*")
+            out = row if out is None else out.union(row)
+    return out.withColumn("allowed", F.col("bytes") <= 1_000_000)
+
+
+FOOTED = {"lineitem": "l_orderkey", "orders": "o_custkey", "customer": "c_custkey", "part": "p_size"}
+
+
+@query(
+    "src7_rows",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high FROM {n}" for n, c in FOOTED.items()),
+)
+def footer_rows(t):
+    """Row counts and bounds of a column from the footers alone, against the rows themselves."""
+    parts = []
+    for name, column in FOOTED.items():
+        chunks = Io.parquet_footers(getattr(t, name)).filter(F.col("column") == column)
+        parts.append(chunks.agg(F.lit(name).alias("table_name"), F.sum("rows").alias("n_rows"), F.min("low").alias("low"), F.max("high").alias("high")))
+    return reduce(lambda a, b: a.union(b), parts)
 
 
 @query(

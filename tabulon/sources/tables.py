@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from collections.abc import Callable
 
+import pandas as pd
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,6 +129,76 @@ def guarded(df: DataFrame, limit_bytes: int) -> DataFrame:
     return df
 
 
+def parquet_footers(df: DataFrame) -> DataFrame:
+    """(file, row_group, rows, column, bytes, low, high, low_text, high_text): one row per column chunk of the Parquet files that ``df`` reads.
+
+    The footers are read in tasks, no data is. ``low`` and ``high`` are the bounds that the writer left: numbers as they are, dates and
+    times as microseconds, texts in the two text columns; null where there are none. A nested column's chunks carry its name.
+    """
+    spark = df.sparkSession
+    files = spark.createDataFrame([(f,) for f in df.inputFiles()], "file string")
+
+    def number(v):
+        if isinstance(v, datetime.datetime):
+            return float(round((v - datetime.datetime(1970, 1, 1, tzinfo=v.tzinfo)) / datetime.timedelta(microseconds=1)))
+        if isinstance(v, datetime.date):
+            return float((v - datetime.date(1970, 1, 1)).days * 86_400_000_000)
+        return float(v) if isinstance(v, (int, float, decimal.Decimal)) and not isinstance(v, bool) else None
+
+    def work(parts):
+        for part in parts:
+            out = []
+            for file in part["file"]:
+                place, path = pyarrow.fs.FileSystem.from_uri(file)
+                with place.open_input_file(path) as source:
+                    footer = pyarrow.parquet.ParquetFile(source).metadata
+                    for g in range(footer.num_row_groups):
+                        group = footer.row_group(g)
+                        for c in range(group.num_columns):
+                            chunk = group.column(c)
+                            bounds = chunk.statistics
+                            low, high = (bounds.min, bounds.max) if bounds is not None and bounds.has_min_max else (None, None)
+                            texts = [v if isinstance(v, str) else None for v in (low, high)]
+                            name = chunk.path_in_schema.split(".")[0]
+                            out.append((file, g, group.num_rows, name, chunk.total_compressed_size, number(low), number(high), *texts))
+            yield pd.DataFrame(out, columns=["file", "row_group", "rows", "column", "bytes", "low", "high", "low_text", "high_text"])
+
+    kind = "file string, row_group int, rows long, column string, bytes long, low double, high double, low_text string, high_text string"
+    return files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(work, kind)
+
+
+def scan_estimate(footers: DataFrame, columns: list[str] | None = None, between: dict[str, tuple] | None = None) -> DataFrame:
+    """(bytes, row_groups, rows) that a scan of ``columns`` reads, all if none are named, less the row groups whose bounds lie outside ``between``.
+
+    ``between`` maps a column to an inclusive range; either end may be None, times are microseconds. A row group without bounds is read.
+    """
+    kept = footers
+    for column, (lo, hi) in (between or {}).items():
+        text = any(isinstance(v, str) for v in (lo, hi))
+        low, high = (F.col("low_text"), F.col("high_text")) if text else (F.col("low"), F.col("high"))
+        outside = F.lit(False)
+        if lo is not None:
+            outside = outside | (high < F.lit(lo))
+        if hi is not None:
+            outside = outside | (low > F.lit(hi))
+        gone = footers.filter((F.col("column") == column) & outside).select("file", "row_group").distinct()
+        kept = kept.join(gone, ["file", "row_group"], "left_anti")
+    wanted = kept if columns is None else kept.filter(F.col("column").isin(list(columns)))
+    groups = wanted.groupBy("file", "row_group").agg(F.sum("bytes").alias("bytes"), F.max("rows").alias("rows"))
+    return groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count("*").alias("row_groups"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
+def guarded_scan(df: DataFrame, limit_bytes: int, columns: list[str] | None = None, between: dict[str, tuple] | None = None) -> DataFrame:
+    """The ``columns`` of a Parquet scan, refused before it runs when the footers say that it reads more than the limit.
+
+    The footers rule out row groups by ``between``; the filter itself stays the caller's.
+    """
+    size = scan_estimate(parquet_footers(df), columns, between).head()["bytes"]
+    if size > limit_bytes:
+        raise ValueError(f"{size} bytes to read, limit {limit_bytes}")
+    return df.select(*columns) if columns else df
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
