@@ -40,7 +40,7 @@ def components(links: DataFrame, steps: Steps) -> DataFrame:
 
 
 def bucket_components(
-    posts: DataFrame, verify: Callable[[DataFrame], DataFrame], steps: Steps, known: DataFrame | None = None, also: Column | None = None
+    posts: DataFrame, verify: Callable[[DataFrame], DataFrame], steps: Steps, known: DataFrame | None = None, also: Column | None = None, split: int | None = None
 ) -> DataFrame:
     """(item, component) of the items that verified pairs sharing a bucket connect, as ``components`` of all those pairs would give.
 
@@ -49,7 +49,8 @@ def bucket_components(
     First every item meets the heaviest item of each of its buckets. A group of near copies is thus
     mostly connected through its centre with one pair per item. Then only pairs of a bucket that are
     still in different components are compared, all of them, so no connection is lost. ``also``
-    rules out pairs that cannot hold, by what is ``known`` of the two items (aliases x, y).
+    rules out pairs that cannot hold, by what is ``known`` of the two items (aliases x, y). With ``split``, of a key with
+    more open rows a task has ``split`` at a time to compare with all of the key.
     """
     hubs = posts.groupBy("key").agg(F.max_by("item", F.struct("weight", -F.col("item"))).alias("hub"), F.min("item").alias("lo"), F.max("item").alias("hi"))
     hubs = steps.write(hubs.filter("lo < hi").select("key", "hub"))
@@ -61,8 +62,16 @@ def bucket_components(
     open_keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     left = rows.join(open_keys, "key")
     left = steps.write(left if known is None else left.join(known, "item"))
-    x, y = left.alias("x"), left.alias("y")
-    match = (F.col("x.key") == F.col("y.key")) & (F.col("x.item") < F.col("y.item")) & (F.col("x.component") != F.col("y.component"))
+    one, other, same = left, left, F.col("x.key") == F.col("y.key")
+    if split is not None:
+        parts = F.ceil(F.col("_n") / split).cast("int")
+        sizes = steps.write(left.groupBy("key").agg(F.count("*").alias("_n")))
+        sized = left.join(sizes, "key")
+        one = sized.withColumn("_part", F.pmod(F.xxhash64("item"), parts).cast("int")).drop("_n")
+        other = sized.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_n")
+        same = same & (F.col("x._part") == F.col("y._part"))
+    x, y = one.alias("x"), other.alias("y")
+    match = same & (F.col("x.item") < F.col("y.item")) & (F.col("x.component") != F.col("y.component"))
     if also is not None:
         match = match & also
     rest = x.join(y, match).select(F.col("x.item").alias("a"), F.col("y.item").alias("b")).distinct()
