@@ -30,7 +30,7 @@ TOP = 2000
 #: Bits of a filter (4 MB); it passes through the driver, its size does not depend on the input.
 FILTER_BITS = 1 << 25
 #: Bytes of text worked on at a time (a longer text stands alone).
-PART = 4 << 20
+PART = 1 << 20
 UNKNOWN = "und"
 
 # 0: part of a word, 1: between words, 2: ends a piece
