@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CACHE = 3 << 17
+CACHE = 1 << 17
 
 
 @dataclass
