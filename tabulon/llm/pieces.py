@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CACHE = 1 << 17
+CACHE = 3 << 17
+#: Rows worked on at a time.
+ROWS = 256
 
 
 @dataclass
@@ -161,6 +163,13 @@ def _encoder(pieces: Pieces) -> Callable[[str], bytes]:
     return encode
 
 
+def _slices(batches):
+    """Batches cut small: a task holds the texts and ids of few rows at a time, whatever the size of an Arrow batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """All columns of ``docs`` (with text) and ids array<int>, n_pieces long. Null and empty texts have no pieces.
 
@@ -171,7 +180,7 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
     def work(batches):
         run = pieces.encoder()
-        for batch in batches:
+        for batch in _slices(batches):
             raw = [run(t or "") for t in batch.column(at).to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])])
             ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(raw), np.int32)))
@@ -187,10 +196,11 @@ def decode(rows: DataFrame, pieces: Pieces) -> DataFrame:
     at = rows.columns.index("ids")
 
     def work(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             column = batch.column(at)
             ends = column.offsets.to_numpy()
-            ids = column.values.to_numpy().tolist()  # one conversion for the batch; null rows span nothing
+            ids = column.values.to_numpy()[ends[0] : ends[-1]].tolist()  # one conversion for all rows; null rows span nothing
+            ends = ends - ends[0]
             texts = [pieces.decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
