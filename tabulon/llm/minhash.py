@@ -62,15 +62,16 @@ def signatures(docs: DataFrame, coordinates: int = COORDINATES, width: int = WID
 
 
 def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(item, shingles): the full set of every row of ``docs`` (item, text), as 64-bit hashes."""
+    """(set_a, set_b, shingles): the two hashes and the full set of every row of ``docs`` (text), as 64-bit hashes."""
 
     def work(batches):
         for batch in batches:
-            for lo, hi, sets in text_shingles(batch.column(1), width):
+            for _, _, sets in text_shingles(batch.column(0), width):
+                a, b = sets.set_ids()
                 lists = pa.LargeListArray.from_arrays(pa.array(sets.bounds.astype(np.int64)), pa.array(sets.hashes.view(np.int64)))
-                yield pa.record_batch({"item": batch.column(0).slice(lo, hi - lo), "shingles": lists.cast(pa.list_(pa.int64()))})
+                yield pa.record_batch({"set_a": pa.array(a.view(np.int64)), "set_b": pa.array(b.view(np.int64)), "shingles": lists.cast(pa.list_(pa.int64()))})
 
-    return docs.select("item", "text").mapInArrow(work, "item long, shingles array<long>")
+    return docs.select("text").mapInArrow(work, "set_a long, set_b long, shingles array<long>")
 
 
 def enough(shared, left, right, percent: int):
@@ -87,7 +88,8 @@ def near_duplicates(
     ``width`` words, or the whole sequence of a shorter text. Null, empty and wordless texts have the
     empty set and link with nothing. Equal sets always share a component. A null doc_id takes part in
     no link: its component is null and it is kept. Rows that repeat a doc_id with the same text get
-    equal results. ``component_id`` is the smallest doc_id reachable over links.
+    equal results; with another text they are documents of their own, each with its own links.
+    ``component_id`` is the smallest doc_id reachable over links.
     ``matches`` agreements are asked of a pair, by default ``least_matches``.
     """
     matches = matches or least_matches(percent, coordinates)
@@ -95,8 +97,10 @@ def near_duplicates(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = steps.write(signatures(docs, coordinates, width))
     real = signed.filter("n_shingles > 0 and doc_id is not null")
-    heads = steps.write(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("item")))
-    items = heads.join(real, ["set_a", "set_b"]).filter("doc_id = item").select("item", "n_shingles", "signature").distinct()
+    # a set is named by its two hashes, and by a number for short; the written table keeps the numbers as they are
+    heads = real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("head")).withColumn("item", F.monotonically_increasing_id())
+    heads = steps.write(heads)
+    items = heads.join(real, ["set_a", "set_b"]).filter("doc_id = head").select("item", "set_a", "set_b", "head", "n_shingles", "signature").distinct()
     items = steps.write(items)
 
     pairs = items.select("item", F.posexplode("signature").alias("at", "value")).select("item", F.xxhash64("at", "value").alias("key"))
@@ -107,10 +111,11 @@ def near_duplicates(
     ranked = steps.write(ranked.filter("size(prefix) > 0"))
 
     # full sets of the candidates, and how many of its shingles each shares with any other of them
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("item"), "text")
     # the candidates grow with the corpus, so texts and candidates meet by a shuffle at every size
-    texts = texts.join(ranked.select("item").hint("merge"), "item")
-    sets = shingle_sets(texts, width).join(items, "item").filter(F.size("shingles") == F.col("n_shingles")).dropDuplicates(["item"])
+    wanted = items.join(ranked.select("item"), "item").select(F.col("head").alias("doc_id")).distinct()
+    texts = docs.join(wanted.hint("merge"), "doc_id")
+    named = items.select("set_a", "set_b", "item", "n_shingles", "signature")
+    sets = shingle_sets(texts, width).join(named, ["set_a", "set_b"]).dropDuplicates(["set_a", "set_b"]).drop("set_a", "set_b")
     sets = steps.write(sets)
     alone = sets.select("item", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.max("item").alias("item")).filter("n = 1")
     alone = alone.groupBy("item").agg(F.count("*").alias("alone"))
@@ -134,7 +139,9 @@ def near_duplicates(
     group = bucket_components(posts, verify, steps, known.drop("weight"), fits)
     steps.drop(ranked, sets, known, items)
 
-    known = heads.join(group, "item", "left").select("set_a", "set_b", F.coalesce("component", "item").alias("component"))
+    heads = heads.join(group, "item", "left")
+    lowest = heads.filter("component is not null").groupBy("component").agg(F.min("head").alias("lowest"))
+    known = heads.join(lowest, "component", "left").select("set_a", "set_b", F.coalesce("lowest", "head").alias("component"))
     rows = signed.select("doc_id", "n_shingles", "set_a", "set_b")
     linked = F.col("n_shingles") > 0
     out = rows.join(known, ["set_a", "set_b"], "left").withColumn("component_id", F.when(F.col("doc_id").isNull(), None).when(linked, F.col("component")).otherwise(F.col("doc_id")))

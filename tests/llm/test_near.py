@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -44,6 +46,31 @@ def test_minhash_brute_force(spark, tables):
     assert len({g.find(10_000 + k) for k in range(8)}) < 8
 
 
+def test_minhash_repeated_ids(spark):
+    """Rows with one doc_id and different texts are documents of their own, and none loses a link to another."""
+    rng = random.Random(8)
+    bases = [[f"w{b}x{k}" for k in range(60)] for b in range(12)]
+    rows = []
+    for i in range(300):
+        text = rng.choice(bases) + [f"end{k}" for k in range(rng.randint(0, 2))]
+        rows.append((rng.choice([None, i % 9, i % 40, i]), " ".join(text if rng.random() < 0.8 else [f"own{i}x{k}" for k in range(30)])))
+    rows += [(7, "c " * 20), (7, " ".join(f"z{k}" for k in range(60))), (9, " ".join(f"z{k}" for k in range(61)))]
+    sets = [shingles(t) for _, t in rows]
+    groups = Groups(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if None not in (rows[i][0], rows[j][0]) and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                groups.link(i, j)
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            low[groups.find(i)] = min(d, low.get(groups.find(i), d))
+    want = [(d, len(s), low[groups.find(i)] if d is not None else None) for i, ((d, _), s) in enumerate(zip(rows, sets))]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert Counter(map(str, want)) == Counter(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got) and want[-1][2] == 7
+
+
 def test_minhash_awkward(spark):
     got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in minhash.near_duplicates(awkward(spark)).collect())
     n = {i: len(shingles(t)) for i, t, *_ in AWKWARD}

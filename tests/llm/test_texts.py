@@ -447,6 +447,15 @@ def test_pipeline_near_pairs(spark):
     assert minhash.least_matches(80, 64) == 34 and minhash.least_matches(85, 64) >= 38
 
 
+def test_pipeline_near_keeps_every_text(spark):
+    """Repeated ids and null ids: of rows with near texts one stays, the smallest doc_id, and no other text goes."""
+    a, b, c = (" ".join(f"{n}{k}" for k in range(60)) for n in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (None, b + " more"), (None, c), (None, c + " more"), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0, "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, component_id string")
+    got = [(r["doc_id"], r["text"][:60]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [(3, a[:60]), (5, b[:60]), (None, c[:60]), (8, "")]))
+
+
 def test_pipeline_mixing_keeps_rows(spark):
     """Rows without a doc_id are taken as the mix counts them, and rows that repeat one as often as each is taken."""
     rng = random.Random(6)
