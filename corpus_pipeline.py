@@ -33,15 +33,14 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup at a similarity of 0.8: one document of each group stays, the one with the smallest doc_id. Of rows that repeat a
-    doc_id with the same text one stays; rows without a doc_id stay as they are."""
-    docs = docs.select(*DOCUMENT)
-    near = minhash.near_duplicates(docs, percent=NEAR).filter("doc_id is not null")
-    marks = near.groupBy("doc_id").agg(F.bool_or(~F.col("kept")).alias("gone"), F.count("*").alias("rows"))
-    marks = Steps(spark, "near").write(marks.filter("gone or rows > 1"))
-    once = docs.join(marks.hint("merge"), "doc_id", "left_anti")
-    again = docs.join(marks.filter("not gone").select("doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
-    return once.select(*DOCUMENT).union(again.select(*DOCUMENT))
+    """MinHash near-dedup at a similarity of 0.8: one row of each group stays, the one with the smallest doc_id, a null one
+    last. Every row is a document of its own, whatever its doc_id, so no text goes that no near copy stands for. Texts without words stay."""
+    # the rows are numbered in a written table, so a number names the same row wherever it is read
+    docs = Steps(spark, "near").write(docs.select(*DOCUMENT).withColumn("row", F.monotonically_increasing_id()))
+    near = minhash.near_duplicates(docs.select(F.col("row").alias("doc_id"), "text"), percent=NEAR)
+    near = near.select(F.col("doc_id").alias("row"), "component_id").join(docs.select("row", "doc_id"), "row")
+    first = near.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"))
+    return docs.join(first.select("first.row").hint("merge"), "row", "left_semi").select(*DOCUMENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
