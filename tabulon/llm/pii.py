@@ -23,12 +23,22 @@ _TRUNK = (
     r"(?<![\d+])(?<!\d[ .,/-])(?!\d\d[ .-]\d\d[ .-]\d{4}(?!\d))(?!\d{3}-\d\d-\d{4}(?!\d))(?=\(?(?:\d\)?[ ./-]?){8,10}\d(?![ .-]?\d))"
     r"\(?0[1-9]\d{0,3}(?:\)[ -]?|[ -]|(?<=\d{3})/)(?:\d{5,8}|\d{2,8}(?:[ -]\d{2,8}){1,3})(?!\d)|(?<![\d+])(?<!\d[ .,/-])0[1-9](?:\.\d\d){4}(?!\.?\d)"
 )
+_EMAIL = r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])"
+_IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)"
+#: What a secret cannot hold, and the marks that end a sentence or a bracket and not a secret.
+_BREAK = r"\s\u00a0\u2000-\u200a\u2028\u2029\u202f\u3000\"',;<>"
+_CLOSE = r".:!?)\]}"
+#: A name, a mark of assignment and eight characters or more of any kind up to a break; web, mail and IP addresses are none.
+_SECRET = (
+    r"(?<![A-Za-z0-9])(?i:password|passwd|passphrase|pwd|pw|token|secret|api[_-]?key|access[_-]?key)[\"']?\s?[=:]\s?[\"']?"
+    rf"(?!(?i:https?|ftp)://|(?:{_EMAIL}|{_IP})[{_CLOSE}]*(?![^{_BREAK}]))[^{_BREAK}]{{7,}}[^{_BREAK}{_CLOSE}][\"']?"
+)
 #: Kinds in the order in which they are tried at a place of the text.
 PATTERNS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])",
-    "secret": r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{8,128}(?![A-Za-z0-9_/+-])\"?",
+    "email": _EMAIL,
+    "secret": _SECRET,
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)",
+    "ip": _IP,
     "date": r"(?<![\d./-])(?:(?:1[89]|2[01])\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])\.(?:0[1-9]|1[0-2])\.(?:1[89]|2[01])\d\d|(?:(?:0[1-9]|1[0-2])/(?:0[1-9]|[12]\d|3[01])|(?:1[3-9]|2\d|3[01])/(?:0[1-9]|1[0-2]))/(?:1[89]|2[01])\d\d)(?![\d/-])",
     "social": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
     "phone": rf"(?<![\d+])\+\d{{1,3}}[ .-]?{_AREA}(?!\d)|(?<![\w+])\+(?!\d+\.\d+(?!\d|[ .()-]{{1,2}}\d))[1-9](?:[ .()-]{{0,2}}\d){{6,14}}(?!\d)"
@@ -221,7 +231,7 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a found value; null if it does not pass its kind's validation."""
     none = F.array().cast("array<int>")
-    head = F.length(F.regexp_extract(value, r"^([\w-]+?\s?[=:]\s?\"?)", 1))
+    head = F.length(F.regexp_extract(value, r"^([\w-]+?[\"']?\s?[=:]\s?[\"']?)", 1))
     tail = F.length(F.regexp_extract(value, r"(\.[A-Za-z]+)$", 1))
     zero = F.lit(0)
     kind = kind_of(value)

@@ -319,6 +319,27 @@ def test_pii_edges(spark):
     assert pii.pseudonymise(alone, "k").filter("size(found) = 1").count() == 2
 
 
+def test_pii_secrets(spark):
+    """Values with punctuation, in either quotes, of any length and dotted ones are replaced whole; addresses keep their own kind."""
+    whole = ["password: P@ssw0rd!2024", "secret=" + "a1" * 80, "api_key='abcd1234efgh'", "pw: hunter2hunter2", "token=eyJhbGciOi.eyJzdWIiOjEy.SflKxwRJSM"]
+    whole += ['"password":"x#9$kq(Zt)w"', "client_secret = 'é-3f9a#c1'", "PASSPHRASE=Zx9&Zx9&Zx9", "pwd=ab:cd:ef:12", "password=p@host.example/9x"]
+    stay = ["token: https://a.example.org/x", "secret: 'tis", "password = ...", "the token: (see a)", "pw: short", "secret; abcdefgh12"]
+    mails = ["password: ann@mail.example.com", '{"token":"ann@mail.example.com","x":1}', "secret=10.20.30.40"]
+    texts = [*(f"see {v}. Then" for v in whole), *(f"see {v}, then" for v in stay), *mails]
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    for i, value in enumerate(whole):
+        bare = value.removeprefix('"').removeprefix("client_")
+        assert [(f["kind"], f["value"]) for f in rows[i]["found"]] == [("secret", bare)], value
+        new = rows[i]["found"][0]["pseudonym"]
+        assert rows[i]["text"] == texts[i].replace(bare, new) and len(new) == len(bare) and re.fullmatch(pii.PATTERNS["secret"], new)
+        kept = re.split("[=:]", bare, maxsplit=1)
+        assert new.startswith(kept[0]) and all(a == b or a.isalnum() for a, b in zip(bare, new)) and new != bare
+    for i, value in enumerate(stay, len(whole)):
+        assert rows[i]["text"] == texts[i] and not rows[i]["found"], value
+    kinds = [[f["kind"] for f in rows[i]["found"]] for i in range(len(whole) + len(stay), len(texts))]
+    assert kinds == [["email"], ["email"], ["ip"]]
+
+
 def test_pii_new_classes_are_permutations(spark):
     day = F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int"))
     days = spark.range(0, pii.DAYS).filter(F.dayofmonth(day) > 12).select(F.date_format(day, "dd/MM/yyyy").alias("v"))
