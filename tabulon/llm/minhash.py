@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.operators.joins import join_hot
+
 from .graph import bucket_components
 from .steps import Steps
 from .words import text_shingles
@@ -139,9 +141,10 @@ def near_duplicates(
     group = bucket_components(posts, verify, steps, known.drop("weight"), fits)
     steps.drop(ranked, sets, known, items)
 
-    heads = heads.join(group, "item", "left")
-    lowest = heads.filter("component is not null").groupBy("component").agg(F.min("head").alias("lowest"))
-    known = heads.join(lowest, "component", "left").select("set_a", "set_b", F.coalesce("lowest", "head").alias("component"))
+    # only linked sets meet by component, and a component with a large share of them is split
+    lowest = heads.join(group, "item").groupBy("component").agg(F.min("head").alias("lowest"))
+    named = join_hot(group, lowest, "component").select("item", "lowest")
+    known = heads.join(named, "item", "left").select("set_a", "set_b", F.coalesce("lowest", "head").alias("component"))
     rows = signed.select("doc_id", "n_shingles", "set_a", "set_b")
     linked = F.col("n_shingles") > 0
     out = rows.join(known, ["set_a", "set_b"], "left").withColumn("component_id", F.when(F.col("doc_id").isNull(), None).when(linked, F.col("component")).otherwise(F.col("doc_id")))
