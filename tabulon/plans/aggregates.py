@@ -146,10 +146,10 @@ STATUSES = ["F", "O", "P"]
     + " FROM orders GROUP BY 1",
 )
 def cross_table(t):
-    found = A.levels(t.orders, ["o_orderstatus"])["o_orderstatus"]
-    counts = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", found).count().fillna(0)
-    total = sum(F.col(s) for s in found)
-    return counts.select("o_orderpriority", *[R(F.col(s) / total, 8).alias(s) for s in found])
+    # the columns are those that the caller names, and shares are of all rows, so no list of levels is read
+    named = [F.count_if(F.col("o_orderstatus") == s).alias(s) for s in STATUSES]
+    counts = t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("_all"), *named)
+    return counts.select("o_orderpriority", *[R(F.col(s) / F.col("_all"), 8).alias(s) for s in STATUSES])
 
 
 @query(
@@ -160,17 +160,15 @@ def cross_table(t):
          GROUP BY 1""",
 )
 def pivot_sum(t):
-    found = A.levels(t.orders, ["o_orderstatus"])["o_orderstatus"]
-    per_customer = t.orders.groupBy("o_custkey").pivot("o_orderstatus", found).sum("o_totalprice")
+    sums = [F.sum(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))).alias(s) for s in STATUSES]
+    per_customer = t.orders.groupBy("o_custkey").agg(*sums, F.sum("o_totalprice").alias("_all"))
     wide = (
         per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name")
-        .agg(*[F.coalesce(F.sum(s), F.lit(0.0)).alias(s) for s in found])
+        .agg(*[F.coalesce(F.sum(s), F.lit(0.0)).alias(s) for s in STATUSES], F.sum("_all").alias("_all"))
     )
-    return wide.select(
-        "n_name", *[R(s, 2).alias(s) for s in found], R(sum(F.col(s) for s in found), 2).alias("total_revenue")
-    ).orderBy(F.desc("total_revenue"))
+    return wide.select("n_name", *[R(s, 2).alias(s) for s in STATUSES], R("_all", 2).alias("total_revenue")).orderBy(F.desc("total_revenue"))
 
 
 @query(
@@ -443,14 +441,11 @@ DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount"]
     ),
 )
 def describe(t):
+    # All plain statistics of all columns in one aggregate; only the quantiles take the columns as rows.
+    plain = {"n": F.count, "mean": lambda c: R(F.avg(c), 6), "std": lambda c: R(F.stddev_samp(c), 6), "lo": F.min, "hi": F.max}
+    wide = t.lineitem.agg(*[F.struct(F.lit(c).alias("name"), *[f(c).alias(k) for k, f in plain.items()]).alias(c) for c in DESCRIBED])
+    stats = wide.select(F.inline(F.array(*DESCRIBED)))
     long = t.lineitem.select(*DESCRIBED).unpivot([], DESCRIBED, "name", "v")
-    stats = long.groupBy("name").agg(
-        F.count("v").alias("n"),
-        R(F.avg("v"), 6).alias("mean"),
-        R(F.stddev_samp("v"), 6).alias("std"),
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-    )
     q = exact_quantiles(long, "v", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["name"])
     return stats.join(q.select("name", *[R(c, 6).alias(c) for c in ("q1", "q2", "q3")]), "name")
 
