@@ -28,6 +28,9 @@ MARKS = ["<|turn|>", "<|text|>", "<|end|>"]
 CONTROL = [*MARKS, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 ESCAPE = "␛"
 
+#: Between a letter and a blank before a letter the pre-splitter of the file always ends a word, so no merge spans that place.
+_cut = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
+
 _control = re.compile("(?=" + "|".join(map(re.escape, CONTROL)) + ")(.)", re.S)
 
 
@@ -61,10 +64,15 @@ class Tokens:
         return Tokens._open[self.path]
 
     def encode(self, text: str) -> list[int]:
+        """The ids of the whole text. Long texts are encoded in parts of about ``PIECE`` characters, cut only where
+        the ids do not change; a text without such a place is one part."""
         model, _ = self.model()
-        out = []
-        for at in range(0, len(text), PIECE):
-            out += model.encode(text[at : at + PIECE], add_special_tokens=False).ids
+        out, at = [], 0
+        while at < len(text):
+            place = _cut.search(text, at + PIECE)
+            end = place.start() if place else len(text)
+            out += model.encode(text[at:end], add_special_tokens=False).ids
+            at = end
         return out
 
     def decode(self, ids) -> str:

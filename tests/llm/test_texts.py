@@ -387,6 +387,16 @@ def test_chat(spark, tables):
     assert chat.read_back(chat.format_turns(frame.limit(0))).count() == 0
 
 
+def test_chat_ids_of_long_texts(monkeypatch):
+    monkeypatch.setattr(chat, "PIECE", 40)
+    tokens, rnd = chat.Tokens(), random.Random(5)
+    whole = tokens.model()[0]
+    words = ["it's", "don't", "a", "", "c\n\nd", "e1", "1f", "é", "ünd", "日本", "\t", ",", "<|endoftext|>", "y'z", "'s", "x\u0301"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 200))) for _ in range(200)]
+    for text in texts + ["", "a" * 500, " " * 500, "1 2 " * 200, "ab " * 300]:
+        assert tokens.encode(text) == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_chat_mask():
     marks, ids = (100, 101, 102), np.array([100, 1, 101, 5, 6, 102, 100, 2, 101, 7, 102, 100, 2, 101, 102])
     assert chat.loss_mask(ids, ["user", "assistant", "assistant"], marks).tolist() == [False] * 9 + [True] + [False] * 5
