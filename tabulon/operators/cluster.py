@@ -7,10 +7,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import safe_divide
 from ..sources.scratch import durable
@@ -48,13 +50,43 @@ def new_centers(df: DataFrame, array: str, cluster: str) -> DataFrame:
     return cells.groupBy(cluster, "position").agg(F.avg(F.col("x").cast("double")).alias("mean"))
 
 
-def silhouettes(df: DataFrame, key: str, array: str, cluster: str, block: int = 256) -> DataFrame:
+def _distance_sums(a: np.ndarray, b: np.ndarray, tile: int = 1024) -> np.ndarray:
+    """Of every row of ``a`` the sum of its Euclidean distances to the rows of ``b``, by matrix products of tiles.
+
+    Squared lengths less the product lose digits where points lie close for their lengths; such pairs are measured by their differences.
+    """
+    out = np.zeros(len(a))
+    long_a, long_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    for i in range(0, len(a), tile):
+        for j in range(0, len(b), tile):
+            x, y = a[i : i + tile], b[j : j + tile]
+            both = long_a[i : i + tile, None] + long_b[None, j : j + tile]
+            square = x @ y.T
+            square *= -2
+            square += both
+            both *= 1e-3
+            left, right = np.nonzero(~(square >= both))
+            for k in range(0, len(left), 8 * tile):
+                m, n = left[k : k + 8 * tile], right[k : k + 8 * tile]
+                square[m, n] = ((x[m] - y[n]) ** 2).sum(axis=1)
+            out[i : i + tile] += np.sqrt(square, out=square).sum(axis=1)
+    return out
+
+
+def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, stop) of the runs of rows that are equal in all columns."""
+    new = np.any([np.diff(c, prepend=c[:1] - 1) != 0 for c in columns], axis=0)
+    stops = np.append(np.flatnonzero(new), len(new))
+    return list(zip(stops[:-1].tolist(), stops[1:].tolist()))
+
+
+def silhouettes(df: DataFrame, key: str, array: str, cluster: str, block: int = 16384) -> DataFrame:
     """(key, cluster, a, b, silhouette) by Euclidean distance: mean distance to the other points of the own cluster, least mean distance
     to another cluster, and ``(b - a) / max(a, b)``; 0 for a point alone in its cluster, null where there is one cluster only.
 
     A cluster's mean distance is at least the distance to its centre and at most the root of that squared plus its mean squared
-    radius; clusters whose lower bound is above the least upper bound are left out. The others are measured exactly, blocks of
-    points against blocks of a cluster's points, and only sums per point leave a task. The driver holds the centres.
+    radius; clusters whose lower bound is above the least upper bound are left out. The others are measured exactly: a task holds up to
+    about ``block`` points and the points of a cluster pass by, an Arrow batch at a time; only sums per point leave it. The driver holds the centres.
     """
     points = durable(df.select(F.col(key).alias("key"), F.transform(array, lambda v: v.cast("double")).alias("x"), F.col(cluster).alias("c")))
     means = points.select("c", F.posexplode("x").alias("at", "v")).groupBy("c", "at").agg(F.avg("v").alias("m"), F.var_pop("v").alias("v"), F.count("v").alias("n"))
@@ -79,23 +111,42 @@ def silhouettes(df: DataFrame, key: str, array: str, cluster: str, block: int =
         near[np.arange(len(rows)), mine] = True
         return pd.Series([np.flatnonzero(n).astype(np.int32) for n in near])
 
-    parts = F.element_at(F.array(*[F.lit(-(-n // block)) for n in sizes]), F.col("i") + 1)
+    # the points that ask for a cluster are dealt to parts: as many as blocks, and more while that gives the cores work
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-sum(sizes) // block), min(-(-sum(sizes) // 256), -(-4 * cores // len(names))))
     numbered = points.withColumn("i", place[F.col("c")])
-    there = numbered.groupBy("i", F.pmod(F.xxhash64("key", F.lit(1)), parts).alias("part")).agg(F.collect_list("x").alias("there")).select("i", "there")
-    every = -(-sum(sizes) // block)
+    there = numbered.select("i", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("side"), F.lit(None).cast(points.schema["key"].dataType).alias("key"), "x")
     here = numbered.select("key", "x", F.explode(asked("x", "i")).alias("i"))
-    here = here.groupBy("i", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(every)).alias("part")).agg(F.collect_list(F.struct("key", "x")).alias("here"))
-
-    @F.pandas_udf("array<double>")
-    def sums(mine: pd.Series, theirs: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(mine, theirs):
-            a, b = np.stack(list(a)), np.stack(list(b))
-            out.append(np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)).sum(axis=1))
-        return pd.Series(out)
-
-    met = here.join(there, "i").select("i", F.col("here.key").alias("keys"), sums(F.col("here.x"), "there").alias("s"))
-    total = met.select("i", F.inline(F.arrays_zip("keys", "s"))).groupBy("keys", "i").agg(F.sum("s").alias("s"))
+    here = here.select("i", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("side"), "key", "x")
+    kind = T.StructType([T.StructField("keys", points.schema["key"].dataType), T.StructField("i", T.IntegerType()), T.StructField("s", T.DoubleType())])
+
+    def work(batches):
+        group, mine, asking, sums = None, [], [], None
+
+        def done():
+            if asking:
+                yield pa.record_batch([pa.concat_arrays(asking), pa.array(np.full(len(sums), group[0], np.int32)), pa.array(sums)], names=kind.names)
+
+        for batch in batches:
+            i, part, side = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            for lo, hi in _runs(i, part, side):
+                if group != (i[lo], part[lo]):
+                    yield from done()
+                    group, mine, asking, sums = (i[lo], part[lo]), [], [], np.zeros(0)
+                center = centers[group[0]]
+                x = batch.column(4).slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).reshape(hi - lo, -1) - center
+                if side[lo] == 0:
+                    mine.append(x)
+                    asking.append(batch.column(3).slice(lo, hi - lo))
+                    sums = np.zeros(sum(map(len, mine)))
+                elif asking:
+                    mine = [np.concatenate(mine)] if len(mine) > 1 else mine
+                    sums += _distance_sums(mine[0], x)
+        yield from done()
+
+    met = here.union(there).repartition(parts * len(names), "i", "part").sortWithinPartitions("i", "part", "side")
+    met = met.mapInArrow(work, kind)
+    total = met.groupBy("keys", "i").agg(F.sum("s").alias("s"))
     both = total.join(numbered.select(F.col("key").alias("keys"), "c", F.col("i").alias("own")), "keys")
     count = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("i") + 1)
     mine = F.col("i") == F.col("own")

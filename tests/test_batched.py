@@ -79,6 +79,28 @@ def test_silhouettes_equal_brute_force(spark, block):
     assert K.silhouettes(df.limit(0), "i", "x", "c").count() == 0
 
 
+def test_distance_sums_equal_differences():
+    """Close points far from the origin, copies, and tiles that are not full."""
+    rng = np.random.default_rng(9)
+    a = np.concatenate([rng.normal(size=(30, 5)), 1e5 + rng.normal(size=(30, 5)) * 1e-3, np.full((5, 5), 7.0)])
+    b = np.concatenate([a[::2], rng.normal(size=(11, 5))])
+    want = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)).sum(axis=1)
+    assert np.allclose(K._distance_sums(a, b, tile=16), want, rtol=1e-11, atol=0)
+    copies = np.full((4, 5), 1e6 / 3)
+    assert not K._distance_sums(copies, copies).any()
+
+
+def test_silhouettes_spread_a_cluster_over_tasks(spark):
+    """Points against points are dealt by cluster and part; by cluster alone a few tasks had all the work."""
+    df = spark.range(3000).select("id", F.array((F.col("id") % 97).cast("double"), F.rand(3)).alias("x"), (F.col("id") % 2).cast("int").alias("c"))
+    rows = K.silhouettes(df, "id", "x", "c")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "hashpartitioning(i#" in line and "REPARTITION" in line]
+    assert dealt and all(", part#" in line for line in dealt)
+    assert not any("Join [i#" in line for line in plan.split("\n"))
+    assert rows.count() == 3000
+
+
 def test_scan_estimate_follows_columns_and_ranges(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     n = 4000
