@@ -15,6 +15,8 @@ from .joins import join_hot
 from .ordered import Ordered, ordered
 
 START, END = "<s>", "</s>"
+#: Numbers that a decoding task lays out at a time.
+CELLS = 1 << 20
 
 
 def tokens(text):
@@ -153,14 +155,25 @@ def hmm_tables(df: DataFrame, seq: str, order: str, word: str, tag: str, alpha:
 
 
 def _stacked(blocks: pd.Series, width: int):
-    """(values, lengths): blocks of steps side by side, shorter ones filled up at the end."""
-    lengths = np.array([len(b) for b in blocks])
+    """(values, lengths): blocks of steps, ``width`` numbers each, side by side, shorter ones filled up at the end."""
+    lengths = np.array([len(b) // width for b in blocks])
     out = np.zeros((len(blocks), lengths.max(initial=0), width))
     for i, b in enumerate(blocks):
-        out[i, : len(b)] = np.stack(list(b))
+        out[i, : lengths[i]] = np.reshape(b, (-1, width))
     return out, lengths
 
 
+def _few(blocks: pd.Series, least: int):
+    """Places of blocks of about equal length, as many at a time as have ``CELLS`` numbers filled up, ``least`` each at least; one always."""
+    sizes = np.array([len(b) for b in blocks])
+    order, lo = np.argsort(sizes, kind="stable"), 0
+    while lo < len(order):
+        cells = np.arange(1, len(order) - lo + 1) * np.maximum(sizes[order[lo:]], least)
+        hi = lo + max(1, int(np.searchsorted(cells, CELLS, "right")))
+        yield order[lo:hi]
+        lo = hi
+
+
 def _matrices(values: np.ndarray, t: int, first: np.ndarray, model) -> np.ndarray:
     """The (max, +) matrices of step ``t`` of all blocks, from the emissions of its word or, on higher levels, as stored."""
     if model is None:
@@ -175,16 +188,21 @@ def _product_udf(k: int, model):
     """Best score from every entry state to every exit state over a block of steps."""
     width = k if model is not None else k * k
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def best_scores(first: pd.Series, steps: pd.Series) -> pd.Series:
+    def scores(begins: np.ndarray, steps: pd.Series) -> np.ndarray:
         values, lengths = _stacked(steps, width)
-        begins = first.to_numpy(dtype=bool)
         total = _matrices(values, 0, begins, model).copy()
         for t in range(1, values.shape[1]):
             on = lengths > t
             m = _matrices(values[on], t, begins[on], model)
             total[on] = np.max(total[on][:, :, :, None] + m[:, None, :, :], axis=2)
-        return pd.Series(list(total.reshape(len(total), -1)))
+        return total.reshape(len(total), -1)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def best_scores(first: pd.Series, steps: pd.Series) -> pd.Series:
+        begins, out = first.to_numpy(dtype=bool), np.zeros((len(steps), k * k))
+        for few in _few(steps, k * k * k):
+            out[few] = scores(begins[few], steps.iloc[few])
+        return pd.Series(list(out))
 
     return best_scores
 
@@ -193,12 +211,11 @@ def _path_udf(k: int, model):
     """The exit state of every step on the best path that enters a block in one state and leaves it in another."""
     width = k if model is not None else k * k
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def best_path(first: pd.Series, entry: pd.Series, leave: pd.Series, steps: pd.Series) -> pd.Series:
+    def paths(begins: np.ndarray, entry: np.ndarray, leave: np.ndarray, steps: pd.Series) -> list[list[int]]:
         values, lengths = _stacked(steps, width)
-        begins, n = first.to_numpy(dtype=bool), len(steps)
+        n = len(steps)
         score = np.full((n, k), -np.inf)
-        score[np.arange(n), entry.to_numpy(dtype=int)] = 0.0
+        score[np.arange(n), entry] = 0.0
         back = np.zeros((n, values.shape[1], k), np.int32)
         for t in range(values.shape[1]):
             on = lengths > t
@@ -211,6 +228,15 @@ def _path_udf(k: int, model):
             for t in range(lengths[i] - 1, 0, -1):
                 path.append(int(back[i, t, path[-1]]))
             out.append(path[::-1])
+        return out
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def best_path(first: pd.Series, entry: pd.Series, leave: pd.Series, steps: pd.Series) -> pd.Series:
+        begins, enter, end = first.to_numpy(dtype=bool), entry.to_numpy(dtype=int), leave.to_numpy(dtype=int)
+        out: list = [None] * len(steps)
+        for few in _few(steps, k * k):
+            for i, path in zip(few, paths(begins[few], enter[few], end[few], steps.iloc[few])):
+                out[i] = np.array(path, np.int32)
         return pd.Series(out)
 
     return best_path
@@ -222,7 +248,7 @@ def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int =
     The best score over a run of steps is a product in (max, +), which may be grouped freely. A row carries the k
     emission scores of its word, found in a dictionary by a join; the k * k matrix of a step is made where its block is worked on. Steps
     are multiplied in blocks of ``block``, blocks in blocks of blocks, until a sequence is one block;
-    then the best path is fixed from the top down. No task ever holds more than one Arrow batch of blocks.
+    then the best path is fixed from the top down. No task ever holds more than one Arrow batch of blocks, and lays out ``CELLS`` numbers of it at a time.
     """
     start, transition, emission, tags = tables
     tie, k = tie or [], len(tags)
@@ -246,7 +272,8 @@ def decode(df: DataFrame, seq: str, order: str, word: str, tables, block: int =
         blocks = level.groupBy(seq, F.expr(f"_pos div {block}").alias("_block")).agg(
             F.array_sort(F.collect_list(F.struct("_pos", "_m"))).alias("_s")
         )
-        return blocks.select(seq, "_block", F.transform("_s", lambda x: x["_m"]).alias("_steps"))
+        # side by side in one array: an array for each step would take many times its numbers in a Python task
+        return blocks.select(seq, "_block", F.flatten(F.transform("_s", lambda x: x["_m"])).alias("_steps"))
 
     levels = [durable(leaf)]
     longest = levels[0].agg(F.max("_pos")).head()[0]

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,18 @@ def test_best_tags_equal_brute_force(spark, tables, block):
         assert tuple(found[i, j] for j in range(len(words))) == brute_force(tables, words)
 
 
+def test_decoding_lays_out_few_blocks_at_a_time(spark, tables, monkeypatch):
+    """A batch with one long block and many short ones is never filled up as a whole."""
+    sizes = [3 * n for n in [1, 2, 3] * 400 + [1024]]
+    blocks = pd.Series([np.zeros(n) for n in sizes])
+    groups = list(Q._few(blocks, 9))
+    assert sorted(np.concatenate(groups).tolist()) == list(range(len(sizes)))
+    monkeypatch.setattr(Q, "CELLS", 60)
+    for few in Q._few(blocks, 9):
+        assert len(few) == 1 or len(few) * max(9, max(sizes[i] for i in few)) <= 60
+    assert list(Q._few(pd.Series([], dtype=object), 9)) == []
+
+
 def test_every_word_is_tagged(spark):
     """Words of several turns are one sequence by (turn, place); a long one goes over blocks and blocks of blocks."""
     rng = random.Random(2)
