@@ -164,7 +164,7 @@ def fit_model(x: np.ndarray, bounds: np.ndarray, y: np.ndarray, weight: np.ndarr
             pick = np.sort(order[lo : lo + 128])
             sizes = bounds[pick + 1] - bounds[pick]
             rows = np.repeat(bounds[pick] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-            grads, step = _gradients(m, x[rows], np.concatenate([[0], np.cumsum(sizes)]), y[pick], weight[pick]), step + 1
+            grads, step = _gradients(m, x[rows].astype(np.float32), np.concatenate([[0], np.cumsum(sizes)]), y[pick], weight[pick]), step + 1
             for k, grad in grads.items():
                 grad = grad + 1e-4 * getattr(m, k)
                 first[k] = 0.9 * first[k] + 0.1 * grad
@@ -229,10 +229,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, m
     steps.drop(known, chosen)
     if not rows.num_rows:
         return None
-    bags = [np.frombuffer(v, np.float16).reshape(-1, WIDTH) for v in rows["x"].to_pylist()]
     y = rows["quality"].to_numpy().astype(np.float32)
     weight = np.array([sizes[int(q)] / max(1, (y == q).sum()) for q in y], np.float32)
-    return fit_model(np.concatenate(bags).astype(np.float32), np.concatenate([[0], np.cumsum([len(b) for b in bags])]), y, weight / weight.mean())
+    # the sample stays as it came, once and in half precision; fitting widens a few documents at a time
+    _, ends, values = rows["x"].combine_chunks().cast(pa.large_binary()).buffers()
+    del rows
+    bounds = np.frombuffer(ends, np.int64)[: len(y) + 1] // (2 * WIDTH)
+    return fit_model(np.frombuffer(values, np.float16)[: bounds[-1] * WIDTH].reshape(-1, WIDTH), bounds, y, weight / weight.mean())
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:

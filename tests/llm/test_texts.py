@@ -150,6 +150,16 @@ def test_lines_from_the_second_on(spark):
         assert r["n_removed"] == sum((c["first_doc_id"], c["first_pos"]) != (r["doc_id"], c["pos"]) for c in r["classes"]) and all(c["class_size"] > 1 for c in r["classes"])
 
 
+def test_quality_fit_keeps_the_sample_in_half_precision():
+    """Passages in half precision give the model that they give in single precision."""
+    rng = np.random.default_rng(2)
+    bounds = np.arange(0, 121, 3)
+    x, y = rng.random((120, quality.WIDTH)).astype(np.float16), (np.arange(40) % 2).astype(np.float32)
+    half = quality.fit_model(x, bounds, y, np.ones(40, np.float32), epochs=2)
+    single = quality.fit_model(x.astype(np.float32), bounds, y, np.ones(40, np.float32), epochs=2)
+    assert all(np.array_equal(v, getattr(single, k)) for k, v in vars(half).items()) and half.w.dtype == np.float32
+
+
 def test_lines_probe_keys_are_complete(spark):
     """Every pair within the edits shares a key: index of the shorter, probes of the longer."""
     rng, rows = random.Random(4), []
