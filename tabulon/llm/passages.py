@@ -135,6 +135,31 @@ def band_posts(docs: DataFrame, bands: int, rows: int, reach: int, width: int, p
     return docs.select("doc_id", "version", "text").mapInArrow(work, "key long, doc_id long, version long, pos int")
 
 
+def shared_posts(posts: DataFrame) -> DataFrame:
+    """The rows of ``posts`` whose key, the first column, stands in more than one row.
+
+    Rows are dealt and sorted by key once, so they are made once; neighbours tell whether a key is shared, and a task holds one batch and
+    the last row before it, however many rows a key has.
+    """
+
+    def work(batches):
+        last, sent = None, False  # the last row so far, and whether it has gone out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy()
+            same = key[1:] == key[:-1]
+            more = np.append(same, False) | np.insert(same, 0, False)
+            if last is not None and last.column(0)[0].as_py() == key[0]:
+                more[0] = True
+                if not sent:
+                    yield last
+            last, sent = batch.slice(batch.num_rows - 1), bool(more[-1])
+            yield batch.filter(pa.array(more))
+
+    return posts.repartition("key").sortWithinPartitions("key").mapInArrow(work, posts.schema)
+
+
 def paragraph_sets(docs: DataFrame, reach: int, width: int) -> DataFrame:
     """(doc_id, version, pos, word, n_words, begin, finish, a, b, shingles) of the paragraphs of ``docs`` (doc_id, version, text, wanted array of pos)."""
     kind = "doc_id long, version long, pos int, word long, n_words long, begin long, finish long, a long, b long, shingles array<long>"
@@ -251,9 +276,7 @@ def repeated_passages(
     steps = Steps(docs.sparkSession, "passages")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text").filter("doc_id is not null and text is not null")
     keyed = band_posts(docs, bands, rows, reach, width, percent)
-    live = steps.write(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
-    met = steps.write(keyed.join(live, "key"))
-    steps.drop(live)
+    met = steps.write(shared_posts(keyed))
     sets = steps.write(paragraph_sets(_wanted(met, docs), reach, width))
     place = F.struct(*PLACE)
     spots = sets.select(*PLACE, "word", "n_words", "begin", "finish", "a", "b").distinct()

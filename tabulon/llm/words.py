@@ -155,8 +155,14 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[n
 
 
 def distinct(hashes: np.ndarray, owner: np.ndarray, owners: int) -> Shingles:
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
+    # owner and the hash's upper bits sort as one number; only where these leave the order open both are sorted
+    low = np.uint64(max(1, int(owners).bit_length()))
+    order = np.argsort((owner.astype(np.uint64) << (np.uint64(64) - low)) | (hashes >> low))
+    sorted_hashes, sorted_owner = hashes[order], owner[order]
+    if np.any((sorted_hashes[1:] < sorted_hashes[:-1]) & (sorted_owner[1:] == sorted_owner[:-1])):
+        order = np.lexsort((hashes, owner))
+        sorted_hashes, sorted_owner = hashes[order], owner[order]
+    hashes, owner = sorted_hashes, sorted_owner
     first = np.ones(len(hashes), bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
     hashes, owner = hashes[first], owner[first]

@@ -11,6 +11,7 @@ from helpers import AWKWARD, Groups, awkward, empty, jaccard, sharing, shingles,
 from pyspark.sql import functions as F
 
 from tabulon.llm import embeddings, graph, minhash, passages, spotsigs
+from tabulon.llm import words as shingle_words
 from tabulon.llm.steps import Steps
 
 
@@ -163,6 +164,39 @@ def test_passages_planted(spark):
         assert left[i] == (text if c is None else text[: c["start_char"]] + text[c["start_char"] + c["n_chars"] :])
 
 
+def test_shared_posts_are_made_once(spark):
+    """Keys over several batches, alone at their ends, and frequent ones; nothing is read or made a second time."""
+    rng = np.random.default_rng(5)
+    keys = [*map(int, rng.integers(-40, 40, 60)), *[7] * 25, *range(100, 120)]
+    table = [(k, d, 0, 0) for d, k in enumerate(keys)]
+    posts = spark.createDataFrame(table, "key long, doc_id long, version long, pos int")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("1", "2", "3", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            shared = passages.shared_posts(posts)
+            got = sorted(map(tuple, shared.collect()))
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        count = Counter(k for k, *_ in table)
+        assert got == sorted(r for r in table if count[r[0]] > 1)
+    assert shared._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hash") == 1
+    assert passages.shared_posts(posts.limit(0)).count() == 0
+
+
+def test_distinct_hashes_in_order():
+    """Also where hashes differ in their last bits only."""
+    rng = np.random.default_rng(3)
+    for owners in (1, 2, 50, 300):
+        owner = np.sort(rng.integers(0, owners, 900))
+        hashes = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+        hashes[::3] = hashes[0]
+        hashes[1::5] = hashes[0] ^ np.uint64(1)
+        got = shingle_words.distinct(hashes, owner, owners)
+        for o in range(owners):
+            assert got.hashes[got.bounds[o] : got.bounds[o + 1]].tolist() == sorted(set(hashes[owner == o].tolist()))
+
+
 def test_passages_brute_force_cuts():
     rng = np.random.default_rng(5)
     h = passages.mix(rng.integers(0, 6, 600).astype(np.uint64))
