@@ -103,8 +103,8 @@ def index_keys(line: Column, n: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def probe_keys(line: Column, n: Column, edits: int) -> Column:
-    """Keys of the substrings that can equal segment i of a line ``less`` characters shorter.
+def probe_keys(line: Column, n: Column, edits: int, own: bool = True) -> Column:
+    """Keys of the substrings that can equal segment i of a line ``less`` characters shorter; the line's own segments are among them, unless ``own`` is false.
 
     Left of the segment at most i edits can lie, right of it at most ``edits - i``; that leaves the shifts that keep both.
     """
@@ -114,6 +114,8 @@ def probe_keys(line: Column, n: Column, edits: int) -> Column:
             start, size = _segment(n - less, i, edits + 1)
             low, high = max(-i, less - (edits - i)), min(i, less + (edits - i))
             for shift in range(low, high + 1):
+                if not (own or less or shift):
+                    continue
                 keys.append(_key(i, n - less, F.substring(line, start + shift + 1, size)))
     return F.array(*keys)
 
@@ -140,12 +142,15 @@ def line_classes(docs: DataFrame, steps: Steps, edits: int = EDITS, min_chars: i
     table = steps.write(table.withColumns({"item": F.monotonically_increasing_id(), "size": F.length("line")}))
 
     long = table.filter(F.col("size") >= min_chars)
-    index = long.select(F.explode(index_keys(F.col("line"), F.col("size"), edits)).alias("key")).distinct()
-    probes = long.select("item", F.explode(probe_keys(F.col("line"), F.col("size"), edits)).alias("key"))
-    met = steps.write(probes.join(index, "key").distinct())
-    shared = met.groupBy("key").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).filter("lo < hi").select("key")
-    shared = steps.write(met.join(shared, "key"))
-    steps.drop(met)
+    # a line's own segments are in the index, so only its other substrings look there; a key counts if different lines meet under it
+    segments = long.select("item", F.explode(index_keys(F.col("line"), F.col("size"), edits)).alias("key"))
+    probes = long.select("item", F.explode(probe_keys(F.col("line"), F.col("size"), edits, own=False)).alias("key"))
+    index = steps.write(segments.groupBy("key").agg(F.min("item").alias("lo"), F.max("item").alias("hi")))
+    found = probes.join(index.hint("shuffle_hash"), "key").filter("item <> lo or item <> hi").select("key", "item")
+    found = steps.write(found.distinct())
+    keys = index.filter("lo < hi").select("key").union(found.select("key")).distinct()
+    shared = steps.write(segments.join(keys, "key", "left_semi").select("key", "item").union(found).distinct())
+    steps.drop(index, found)
     # the candidates grow with the corpus, so they meet the lines by a shuffle at every size
     keys = shared.groupBy("item").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # as many as segments and probes
     texts = table.select("item", "line", F.col("n").alias("weight")).join(keys.hint("merge"), "item")

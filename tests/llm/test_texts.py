@@ -150,6 +150,13 @@ def test_lines_from_the_second_on(spark):
         assert r["n_removed"] == sum((c["first_doc_id"], c["first_pos"]) != (r["doc_id"], c["pos"]) for c in r["classes"]) and all(c["class_size"] > 1 for c in r["classes"])
 
 
+def test_lines_look_only_for_other_segments(spark):
+    """A line's own segments are in the index already; without them three of twelve probes go."""
+    row = spark.createDataFrame([("a line of some length, to be cut",)], "x string")
+    keys = row.select(lines.index_keys(F.col("x"), F.length("x"), 2).alias("i"), lines.probe_keys(F.col("x"), F.length("x"), 2).alias("p"), lines.probe_keys(F.col("x"), F.length("x"), 2, own=False).alias("o")).first()
+    assert len(keys.p) == 12 and sorted(keys.p) == sorted(keys.o + keys.i)
+
+
 def test_quality_fit_keeps_the_sample_in_half_precision():
     """Passages in half precision give the model that they give in single precision."""
     rng = np.random.default_rng(2)
