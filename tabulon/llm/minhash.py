@@ -98,19 +98,20 @@ def near_duplicates(
     steps = Steps(docs.sparkSession, "near")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = steps.write(signatures(docs, coordinates, width))
+    n = signed.count()
     real = signed.filter("n_shingles > 0 and doc_id is not null")
     # a set is named by its two hashes, and by a number for short; the written table keeps the numbers as they are
     heads = real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("head")).withColumn("item", F.monotonically_increasing_id())
-    heads = steps.write(heads)
+    heads = steps.write(heads, n)
     items = heads.join(real, ["set_a", "set_b"]).filter("doc_id = head").select("item", "set_a", "set_b", "head", "n_shingles", "signature").distinct()
-    items = steps.write(items)
+    items = steps.write(items, n)
 
     pairs = items.select("item", F.posexplode("signature").alias("at", "value")).select("item", F.xxhash64("at", "value").alias("key"))
     shared = pairs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     ranked = pairs.join(shared, "key").groupBy("item").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("pairs"))
     prefix = F.slice("pairs", 1, F.greatest(F.lit(0), F.size("pairs") - F.lit(matches) + 1))
     ranked = ranked.select("item", F.transform(prefix, lambda p: p["key"]).alias("prefix"), F.aggregate("pairs", F.lit(0).cast("long"), lambda s, p: s + p["n"]).alias("weight"))
-    ranked = steps.write(ranked.filter("size(prefix) > 0"))
+    ranked = steps.write(ranked.filter("size(prefix) > 0"), n)
 
     # full sets of the candidates, and how many of its shingles each shares with any other of them
     # the candidates grow with the corpus, so texts and candidates meet by a shuffle at every size
@@ -118,12 +119,12 @@ def near_duplicates(
     texts = docs.join(wanted.hint("merge"), "doc_id")
     named = items.select("set_a", "set_b", "item", "n_shingles", "signature")
     sets = shingle_sets(texts, width).join(named, ["set_a", "set_b"]).dropDuplicates(["set_a", "set_b"]).drop("set_a", "set_b")
-    sets = steps.write(sets)
+    sets = steps.write(sets, n)
     alone = sets.select("item", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.max("item").alias("item")).filter("n = 1")
     alone = alone.groupBy("item").agg(F.count("*").alias("alone"))
     known = ranked.join(sets.select("item", "n_shingles"), "item").join(alone, "item", "left")
     known = known.withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))).drop("alone")
-    known = steps.write(known.filter(100 * F.col("shared") >= percent * F.col("n_shingles")))
+    known = steps.write(known.filter(100 * F.col("shared") >= percent * F.col("n_shingles")), n)
     posts = known.select("item", "weight", F.explode("prefix").alias("key"))
 
     def verify(found: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.sources.scratch import scratch_path
 
 #: Spark's setting that drops a query's shuffle files once the query has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that a file is worth: making a file takes longer than writing fewer.
+FILE_ROWS = 10_000
 
 
 def write_out(df: DataFrame, path: str) -> None:
@@ -27,14 +31,17 @@ def write_out(df: DataFrame, path: str) -> None:
 class Steps:
     """The written steps of one operator call.
 
-    ``write`` returns the table read back. ``drop`` deletes steps that nothing reads any more; what the
+    ``write`` returns the table read back. Where the caller knows about how many ``rows`` a step has at most, it goes to no more files than
+    these are worth, but to two per core at least. ``drop`` deletes steps that nothing reads any more; what the
     returned DataFrame still reads stays until the caller clears the shared folder.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name, self.paths = spark, name, {}
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        if rows is not None:
+            df = df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, math.ceil(rows / FILE_ROWS)))
         path = scratch_path(self.spark, self.name)
         write_out(df, path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -26,6 +26,25 @@ def test_components(spark):
     assert got == {x: g.find(x) for x in linked}
 
 
+def test_components_of_stars(spark):
+    """Links that are stars already are written once and rewritten in no round."""
+    steps, written = Steps(spark, "t"), []
+    write = steps.write
+    steps.write = lambda df, *a: (written.append(1), write(df, *a))[1]
+    pairs = [(k, 0) for k in range(1, 20)] + [(5, 0), (30, 30), (40, 41)]
+    got = {r["item"]: r["component"] for r in graph.components(spark.createDataFrame(pairs, "a long, b long"), steps).collect()}
+    assert got == {k: 0 for k in range(20)} | {40: 40, 41: 40} and len(written) == 1
+    assert not graph.components(spark.createDataFrame([], "a long, b long"), steps).collect()
+
+
+def test_steps_files(spark, monkeypatch):
+    """A step of few rows is no file per partition; rows beyond the given number are all there, and files never get more."""
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 2)
+    for rows, files in ((90, 4), (10**6, 50), (None, 50)):
+        step = Steps(spark, "t").write(spark.range(0, 100, 1, 50), rows)
+        assert len(step.inputFiles()) == files and step.count() == 100
+
+
 def test_minhash_brute_force(spark, tables):
     docs = tables("documents")
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
