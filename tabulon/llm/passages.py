@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .graph import bucket_components
 from .steps import Steps
@@ -160,6 +161,24 @@ def shared_posts(posts: DataFrame) -> DataFrame:
     return posts.repartition("key").sortWithinPartitions("key").mapInArrow(work, posts.schema)
 
 
+def keyed_sets(sets: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
+    """``sets`` (shingles, anything else) with ``keys``, those of ``band_keys`` without repetition."""
+
+    def work(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(batch.schema.get_field_index("shingles"))
+            bounds, hashes = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().view(np.uint64)
+            key, owner = band_keys(Shingles(hashes[bounds[0] : bounds[-1]], bounds - bounds[0]), bands, rows, percent)
+            order = np.lexsort((key.view(np.int64), owner))
+            ends = np.searchsorted(owner[order], np.arange(len(lists) + 1)).astype(np.int32)
+            yield batch.append_column("keys", pa.ListArray.from_arrays(pa.array(ends), pa.array(key[order].view(np.int64))))
+
+    schema = StructType([*sets.schema, StructField("keys", ArrayType(LongType()))])
+    return sets.mapInArrow(work, schema).withColumn("keys", F.array_distinct("keys"))
+
+
 def paragraph_sets(docs: DataFrame, reach: int, width: int) -> DataFrame:
     """(doc_id, version, pos, word, n_words, begin, finish, a, b, shingles) of the paragraphs of ``docs`` (doc_id, version, text, wanted array of pos)."""
     kind = "doc_id long, version long, pos int, word long, n_words long, begin long, finish long, a long, b long, shingles array<long>"
@@ -229,10 +248,13 @@ def surroundings(docs: DataFrame, reach: int) -> DataFrame:
 PLACE = ["doc_id", "version", "pos"]
 
 
-def _wanted(places: DataFrame, docs: DataFrame) -> DataFrame:
+def _listed(places: DataFrame) -> DataFrame:
+    return places.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("wanted"))
+
+
+def _wanted(listed: DataFrame, docs: DataFrame) -> DataFrame:
     """``docs`` that have places, with the list of them."""
-    wanted = places.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("wanted"))
-    return docs.join(wanted.hint("merge"), ["doc_id", "version"])
+    return docs.join(listed.hint("merge"), ["doc_id", "version"])
 
 
 def _agreeing(a, b):
@@ -245,7 +267,7 @@ def _agreeing(a, b):
 def _extended(runs: DataFrame, docs: DataFrame, steps: Steps, reach: int) -> DataFrame:
     """Runs with their ends moved outwards over the words that they have in common with the text around the first occurrence."""
     ends = [runs.select(F.explode(F.array("low", "high", "low_kept", "high_kept")).alias("p"))]
-    there = steps.write(surroundings(_wanted(ends[0].select("p.*").distinct(), docs), reach))
+    there = steps.write(surroundings(_wanted(_listed(ends[0].select("p.*").distinct()), docs), reach))
 
     def beside(rows, place, kept, words, chars):
         own = there.select(F.struct(*PLACE).alias("_p"), F.col("n").alias("_n"), F.col(words).alias("_own"), F.col(chars).alias("_at"))
@@ -276,15 +298,16 @@ def repeated_passages(
     steps = Steps(docs.sparkSession, "passages")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text").filter("doc_id is not null and text is not null")
     keyed = band_posts(docs, bands, rows, reach, width, percent)
-    met = steps.write(shared_posts(keyed))
+    # only the places are taken from here: sets have their keys at hand, and equal ones have equal keys, so each makes them once more
+    met = steps.write(_listed(shared_posts(keyed).select(*PLACE).repartition("doc_id", "version").distinct()))
     sets = steps.write(paragraph_sets(_wanted(met, docs), reach, width))
+    n = sets.count()
     place = F.struct(*PLACE)
     spots = sets.select(*PLACE, "word", "n_words", "begin", "finish", "a", "b").distinct()
     items = sets.groupBy("a", "b").agg(F.min("shingles").alias("shingles"), F.min(place).alias("first"), F.count("*").alias("n"))
-    items = steps.write(items.withColumn("item", F.monotonically_increasing_id()))
-    member = steps.write(spots.join(items.select("a", "b", "item"), ["a", "b"]).drop("a", "b"))
-    posts = met.join(member.select(*PLACE, "item"), PLACE).select("key", "item").distinct()
-    posts = steps.write(posts.join(items.select("item", F.col("n").alias("weight")), "item"))
+    items = steps.write(keyed_sets(items.withColumn("item", F.monotonically_increasing_id()), bands, rows, percent), n)
+    member = steps.write(spots.join(items.select("a", "b", "item"), ["a", "b"]).drop("a", "b"), n)
+    posts = items.select("item", F.explode("keys").alias("key"), F.col("n").alias("weight"))
     steps.drop(met, sets)
 
     def verify(found: DataFrame) -> DataFrame:
@@ -299,12 +322,11 @@ def repeated_passages(
     near_sizes = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
     first_key = F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key")
     fits = near_sizes & first_key & (100 * both >= percent * (F.col("x.size") + F.col("y.size") - both))
-    keys = posts.groupBy("item").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    known = items.select("item", "shingles", F.size("shingles").alias("size")).join(keys, "item")
+    known = items.select("item", "shingles", F.size("shingles").alias("size"), "keys")
     group = bucket_components(posts, verify, steps, known, fits, SPLIT)
     named = items.select("item", "first").join(group, "item", "left").withColumn("component", F.coalesce("component", "item"))
     origin = named.groupBy("component").agg(F.min("first").alias("kept"))
-    origin = steps.write(named.select("item", "component").join(origin, "component").select("item", "kept"))
+    origin = steps.write(named.select("item", "component").join(origin, "component").select("item", "kept"), n)
     later = member.join(origin, "item").withColumn("place", place).filter("place <> kept")
     # places of one document only: as many as its paragraphs
     text = W.partitionBy("doc_id", "version")
@@ -313,7 +335,7 @@ def repeated_passages(
         F.min("place").alias("low"), F.max("place").alias("high"), F.min_by("kept", "pos").alias("low_kept"), F.max_by("kept", "pos").alias("high_kept"),
         F.min("word").alias("word"), F.max(F.col("word") + F.col("n_words")).alias("stop"), F.min("begin").alias("begin"), F.max("finish").alias("finish"),
     )
-    found = _extended(steps.write(found.drop("run")), docs, steps, reach)
+    found = _extended(steps.write(found.drop("run"), n), docs, steps, reach)
     # runs that have grown into one another are one passage
     upto = F.max("stop").over(text.orderBy("word", "stop").rowsBetween(W.unboundedPreceding, -1))
     found = found.withColumn("new", F.coalesce(F.col("word") > upto, F.lit(True)).cast("int"))

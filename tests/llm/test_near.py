@@ -203,6 +203,29 @@ def test_shared_posts_are_made_once(spark):
     assert passages.shared_posts(posts.limit(0)).count() == 0
 
 
+def test_keyed_sets(spark):
+    """Sets have the keys of their paragraphs, over several batches and whatever else the rows hold."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 9, n)) for n in (*rng.integers(1, 40, 60), 1, 2, 300)]
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "doc_id long, version long, text string")
+    want = {}
+    for r in passages.band_posts(docs, 5, 3, 5, 5, 80).collect():
+        want.setdefault((r["doc_id"], r["pos"]), set()).add(r["key"])
+    places = docs.crossJoin(spark.range(200).select(F.col("id").cast("int").alias("pos"))).join(spark.createDataFrame(list(want), "doc_id long, pos int"), ["doc_id", "pos"])
+    sets = passages.paragraph_sets(docs.join(places.groupBy("doc_id").agg(F.collect_list("pos").alias("wanted")), "doc_id"), 5, 5)
+    sets = spark.createDataFrame(sets.collect(), sets.schema)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("1", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            rows = passages.keyed_sets(sets, 5, 3, 80).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        assert {(r["doc_id"], r["pos"]): set(r["keys"]) for r in rows} == want and all(len(r["keys"]) == len(set(r["keys"])) for r in rows)
+        assert sum(len(r["keys"]) == 1 for r in rows) and sum(len(r["keys"]) == 5 for r in rows)
+    assert passages.keyed_sets(sets.limit(0), 5, 3, 80).count() == 0
+
+
 def test_distinct_hashes_in_order():
     """Also where hashes differ in their last bits only."""
     rng = np.random.default_rng(3)
