@@ -348,6 +348,26 @@ def test_embeddings_awkward(spark):
     assert embeddings.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_embeddings_join_sides_stay_off_the_driver(spark):
+    """A side is broadcast by the size that its shuffle has measured, never by that of its files: here no measured size is small enough, and none may be broadcast."""
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((20, 64))
+    rows = [(k, [float(x) for x in centres[k % 20] + 0.1 * rng.standard_normal(64)], k % 2) for k in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    held = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.maxBroadcastTableSize": "1b"}
+    estimated = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(frame).collect()}
+        assert {k: spark.conf.get(k) for k in held} == held and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == estimated != "-1"
+    finally:
+        for k in held:
+            spark.conf.unset(k)
+    assert got == _vector_brute([(i, [float(np.float32(x)) for x in v], label) for i, v, label in rows])
+    assert sum(n for n, _ in got.values()) == 120 * 5
+
+
 @pytest.mark.parametrize("dims", [3, 64, 100])
 def test_rotation_keeps_angles(dims):
     rng = np.random.default_rng(0)
