@@ -118,15 +118,15 @@ def near_vectors(
 
     group = steps.write(components(links, steps))
     ends = links.union(links.select("b", "a"))
-    # the result is planned by the caller's settings, so its joins say themselves that no side goes through the driver
+    # the result is planned by the caller's settings: joins with sides as small in files as links and groups say that neither is broadcast
     count = ends.hint("merge").join(items.select(F.col("item").alias("b"), "copies"), "b").groupBy(F.col("a").alias("item")).agg(F.sum("copies").alias("others"))
-    known = items.select("item", "label", "embedding", "vector", "copies").join(count.hint("merge"), "item", "left").join(group.hint("merge"), "item", "left")
+    known = items.select("item", "label", "embedding", "vector", "copies").join(count, "item", "left").join(group.hint("merge"), "item", "left")
     known = known.select(
         "label", "embedding", "vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "item").alias("component_id")
     )
     rows = rows.withColumn("vector", F.xxhash64("label", "embedding"))
     match = (rows["vector"] == known["vector"]) & (rows["label"] == known["label"]) & (rows["embedding"] == known["embedding"]) & rows["vec_id"].isNotNull()
-    out = rows.join(known.hint("merge"), match, "left").select(rows["vec_id"], known["n_links"], known["component_id"])
+    out = rows.join(known, match, "left").select(rows["vec_id"], known["n_links"], known["component_id"])
     return out.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
