@@ -41,16 +41,28 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 50, seed:
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     """Rows as unit vectors of ``dims`` numbers; other lengths are cut or filled up, which only codes see."""
-    out = np.zeros((len(column), dims))
     sizes = np.diff(column.offsets.to_numpy())
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
-    owner = np.repeat(np.arange(len(column)), sizes)
-    at = np.arange(len(flat)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-    keep = at < dims
-    out[owner[keep], at[keep]] = flat[keep]
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+    if (sizes == dims).all():
+        out = flat.reshape(-1, dims)
+    else:
+        out = np.zeros((len(column), dims))
+        owner = np.repeat(np.arange(len(column)), sizes)
+        at = np.arange(len(flat)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        keep = at < dims
+        out[owner[keep], at[keep]] = flat[keep]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-300)
 
 
+def unit_sample(column: pa.ChunkedArray) -> np.ndarray:
+    """The rows of the commonest length as unit vectors. They are made chunk by chunk, so little is held beside the column and the result."""
+    sizes = [np.diff(c.offsets.to_numpy()) for c in column.chunks]
+    if not len(column):
+        return np.zeros((0, 0))
+    dims = int(np.bincount(np.concatenate(sizes)).argmax())
+    return np.concatenate([_matrix(c.filter(pa.array(n == dims)), dims) for c, n in zip(column.chunks, sizes)])
+
+
 def codes(vectors: DataFrame, mean: np.ndarray, projection: np.ndarray) -> DataFrame:
     """(item, label, code): the sign bits of every row of ``vectors`` (item, label, embedding) as a long."""
 
@@ -86,12 +98,10 @@ def near_vectors(
     sound = sound.withColumn("square", _dot("embedding", "embedding")).filter("square > 0 and square < double('infinity')").distinct()
     groups = sound.groupBy("label", "embedding").agg(F.min("vec_id").alias("item"), F.count("*").alias("copies"), F.first("square").alias("square"))
     items = steps.write(groups.withColumn("vector", F.xxhash64("label", "embedding")))
-    chosen = items.orderBy(F.xxhash64("item"), "item").limit(sample).select("embedding").toArrow()["embedding"]
+    chosen = unit_sample(items.orderBy(F.xxhash64("item"), "item").limit(sample).select("embedding").toArrow()["embedding"])
     if not len(chosen):
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    lengths = np.array([len(v) for v in chosen])
-    dims = int(np.bincount(lengths).argmax())
-    fitted = learn_rotation(_matrix(chosen.combine_chunks().filter(pa.array(lengths == dims)), dims), bits)
+    fitted = learn_rotation(chosen, bits)
     coded = steps.write(codes(items, *fitted))
 
     cuts = np.linspace(0, bits, tables + 1).round().astype(int)

@@ -3,9 +3,11 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, Groups, awkward, empty, jaccard, sharing, shingles, words
 from pyspark.sql import functions as F
@@ -368,6 +370,22 @@ def test_embeddings_join_sides_stay_off_the_driver(spark):
     assert sum(n for n, _ in got.values()) == 120 * 5
 
 
+def test_sample_of_long_vectors_is_held_once():
+    rng = np.random.default_rng(6)
+    lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
+    x = rng.standard_normal((4096, 512))
+    column = pa.chunked_array([lists(x[:1000]), lists(rng.standard_normal((3, 8))), lists(x[1000:2000]), *(lists(x[k : k + 524]) for k in range(2000, 4096, 524))])
+    tracemalloc.start()
+    try:
+        got = embeddings.unit_sample(column)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(got, x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert most < 3 * x.nbytes  # the parts, then the whole of them; indexes of every number took seven times as much
+    assert embeddings.unit_sample(pa.chunked_array([], pa.list_(pa.float64()))).shape[0] == 0
+
+
 @pytest.mark.parametrize("dims", [3, 64, 100])
 def test_rotation_keeps_angles(dims):
     rng = np.random.default_rng(0)
